@@ -11,7 +11,7 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the low
 
 
 def global_position(rows: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
-    """Number the rows 0, 1, 2, ... in ascending ``order``, which must be unique.
+    """Number the rows 0, 1, 2, ... in ascending ``order``; rows equal in it follow in any order.
 
     Rows are range partitioned and sorted in their partition; the sorted table is written, which
     fixes the partition of every row, and each partition's rows are shifted by the count of rows in
