@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.functions.sets import jaccard_of_arrays
+from tallyweave.functions.sets import computed_once, jaccard_of_counts
 
 
 def business_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:
@@ -42,10 +42,16 @@ def profile_scores(
     without one of the profiles scores 0.
     """
     wanted = pairs.select("user_id", "business_id").distinct()
+    profiled = wanted.join(users.select("user_id", F.col("profile").alias("user_words")), "user_id", "left").join(
+        businesses.select("business_id", F.col("profile").alias("business_words")), "business_id", "left"
+    )
+    size_u = F.coalesce(F.size("user_words"), F.lit(0))
+    size_b = F.coalesce(F.size("business_words"), F.lit(0))
+    shared = F.coalesce(F.size(F.array_intersect("user_words", "business_words")), F.lit(0))
+    sim = F.when((size_u > 0) & (size_b > 0), jaccard_of_counts(F.col("shared"), size_u, size_b)).otherwise(F.lit(0.0))
     scored = (
-        wanted.join(users.select("user_id", F.col("profile").alias("user_words")), "user_id", "left")
-        .join(businesses.select("business_id", F.col("profile").alias("business_words")), "business_id", "left")
-        .select("user_id", "business_id", jaccard_of_arrays(F.col("user_words"), F.col("business_words")).alias("sim"))
+        computed_once(profiled, "shared", shared)
+        .select("user_id", "business_id", sim.alias("sim"))
         .where(F.col("sim") >= least)
     )
     return pairs.select("user_id", "business_id").join(scored, ["user_id", "business_id"])

@@ -52,12 +52,12 @@ def pairs_in_groups(
     columns of both sides.  ``keep`` is a further condition on the aliases l and r, symmetric in
     them.  An ordinary group is one equi-join on the keys.  A group above ``cell_rows`` is cut into
     blocks by a hash of the id and joined block against block, so its pairs spread over
-    cells*(cells+1)/2 join keys and no task receives the group.  ``big`` is the written result of
+    cells*(cells+1)/2 join keys and no task receives the group.  ``big`` gives
     :func:`big_groups` where the caller has the sizes already.
     """
     keep = F.lit(True) if keep is None else keep
     if big is None:
-        big = written(big_groups(rows, keys, cell_rows), "big-groups")
+        big = big_groups(rows, keys, cell_rows)
     output = [F.col(f"l.{key}").alias(key) for key in keys]
 
     def plain(part: DataFrame) -> DataFrame:
@@ -72,6 +72,7 @@ def pairs_in_groups(
 
     if big.isEmpty():
         return plain(rows)
+    big = written(big, "big-groups")
 
     block = F.pmod(F.xxhash64(name), F.col("cells")).cast("int")
     blocked = rows.join(big, list(keys)).withColumn("block", block)
@@ -94,9 +95,10 @@ def spread_join(
     Rows of a key with more than ``cell_rows`` rows on the left are dealt to cells by a hash of the
     whole row, and the right side repeats that key once a cell.  Other keys join as they are.
     """
-    big = written(big_groups(left, keys, cell_rows), "big-keys")
+    big = big_groups(left, keys, cell_rows)
     if big.isEmpty():
         return left.join(right, list(keys))
+    big = written(big, "big-keys")
     keys = list(keys)
     one = F.coalesce("cells", F.lit(1))
     dealt = (

@@ -15,7 +15,7 @@ SHARDS = 4
 CASE_YEAR = 1997
 CASE_RATING = 2
 CASE_SUPPORT = 4
-SQL_LEVELS = 6
+SQL_LEVELS = 8
 
 
 def _brand_baskets(spark, folder):

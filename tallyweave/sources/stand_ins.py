@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import words
+from tallyweave.sources.scans import spread_small_scan
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -13,7 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews: their order gives the user and the date."""
     orders = table(spark, folder, "orders")
-    documents = table(spark, folder, "documents")
+    documents = spread_small_scan(table(spark, folder, "documents").select("doc_id", "text"))
     return documents.join(orders, F.col("doc_id") == F.col("o_orderkey")).select(
         F.col("doc_id").alias("review_id"),
         F.col("o_custkey").alias("user_id"),
@@ -82,7 +83,7 @@ def brand_lines(spark: SparkSession, folder: str) -> DataFrame:
 def document_words(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as the set of its words: distinct (user_id, element) rows."""
     return (
-        table(spark, folder, "documents")
+        spread_small_scan(table(spark, folder, "documents").select("doc_id", "text"))
         .select(F.col("doc_id").alias("user_id"), F.explode(words(F.col("text"))).alias("element"))
         .where(F.col("element") != "")
         .distinct()
