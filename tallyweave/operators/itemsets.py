@@ -1,7 +1,11 @@
 """Frequent itemsets: level-wise mining, sharded candidates, and exact counting of candidates.
 
-Baskets are (shard, basket, item) rows.  An itemset is the ascending array of its items.  Mining
-within shards and mining over everything are the same job; over everything there is one shard.
+Baskets are (shard, basket, item) rows.  Mining within shards and mining over everything are the
+same job; over everything there is one shard.
+
+While mining, items are numbers in ascending order of support and an itemset is the ascending array
+of them.  Candidates grow from a stem of the rarest items, so the most common items, which go with
+nearly everything, are never what a group of candidates has in common.
 """
 
 from collections.abc import Callable
@@ -9,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.operators.ranking import global_position
 from tallyweave.operators.skew import CELL_ROWS, pairs_in_groups
 from tallyweave.storage import written
 
@@ -38,10 +43,28 @@ def shard_needs(baskets: DataFrame, support: int) -> DataFrame:
     return shares.select("shard", F.expr("greatest((share + total - 1) div total, 1)").alias("need"))
 
 
-def _singles(baskets: DataFrame, needs: DataFrame) -> DataFrame:
+def _singles(baskets: DataFrame, needs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Frequent items per shard as (shard, item, support, code), and the codes as (item, code)."""
     counts = baskets.groupBy("shard", "item").agg(F.count(F.lit(1)).alias("support"))
-    kept = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
-    return written(kept.select("shard", F.array("item").alias("items"), "support"), "level-1")
+    frequent = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
+    frequent = written(frequent.select("shard", "item", "support"), "level-1")
+    totals = frequent.groupBy("item").agg(F.sum("support").alias("total"))
+    codes = written(global_position(totals, ["total", "item"], "code").select("item", "code"), "codes")
+    return frequent.join(codes, "item"), codes
+
+
+def _decoded(found: DataFrame, codes: DataFrame) -> DataFrame:
+    """(shard, size, items, support) with the items as ascending text."""
+    rows = found.select("*", F.explode("items").alias("code")).join(codes, "code")
+    named = rows.groupBy(*_SET, "support").agg(F.array_sort(F.collect_list("item")).alias("named"))
+    return named.select("shard", F.size("named").alias("size"), F.col("named").alias("items"), "support")
+
+
+def _encoded(itemsets: DataFrame, codes: DataFrame) -> DataFrame:
+    """(shard, size, items) of the itemsets whose items all have a code."""
+    rows = itemsets.select("*", F.explode("items").alias("item")).join(codes, "item")
+    coded = rows.groupBy("shard", "size", "items").agg(F.sort_array(F.collect_list("code")).alias("coded"))
+    return coded.where(F.size("coded") == F.col("size")).select("shard", "size", F.col("coded").alias("items"))
 
 
 def _set_aside(heavy: DataFrame, needs: DataFrame) -> DataFrame:
@@ -56,11 +79,11 @@ def _set_aside(heavy: DataFrame, needs: DataFrame) -> DataFrame:
     return written(chosen.select("shard", "basket", (F.col("place") - 1).alias("bit")), "set-aside")
 
 
-def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets: int | None) -> DataFrame:
-    """(shard, items, support) of the frequent pairs.
+def _light_pairs(kept: DataFrame, needs: DataFrame, heavy_basket: int):
+    """Pairs in the baskets not set aside, the limits they answer to, and what the others add.
 
-    Pairs are formed in the baskets that are not set aside.  What the others add to a pair is the
-    number of bits its two items share in the mask of set-aside baskets holding them.
+    Limits are (shard, need, spare), spare being the number of baskets set aside.  The addition is a
+    mask per item, (shard, item, mask), of the set-aside baskets that hold it, or None.
     """
     sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
     heavy = written(sizes.where(F.col("size") > heavy_basket), "heavy-baskets")
@@ -78,10 +101,14 @@ def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets:
         )
         spare = aside.groupBy("shard").agg(F.count(F.lit(1)).alias("spare"))
         limits = needs.join(spare, "shard", "left").na.fill(0, ["spare"])
-    limits = F.broadcast(limits)  # one row a shard
     cells = big.select("shard", "basket", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("cells"))
-
     pairs = pairs_in_groups(light, ["shard", "basket"], "item", big=cells)
+    return pairs, F.broadcast(limits), masks  # limits: one row a shard
+
+
+def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets: int | None) -> DataFrame:
+    """(shard, items, support) of the frequent pairs."""
+    pairs, limits, masks = _light_pairs(kept, needs, heavy_basket)
     if buckets is not None:
         pairs = _in_frequent_buckets(pairs, limits, buckets)
     counts = (
@@ -136,7 +163,7 @@ def _rarer_parent(sides: DataFrame) -> DataFrame:
 
 def _split_last(level: DataFrame, size: int) -> DataFrame:
     """(shard, stem, last, support) of the itemsets one item smaller than ``size``."""
-    stem = F.slice("items", 1, size - 2) if size > 2 else F.expr("cast(array() as array<string>)")
+    stem = F.slice("items", 1, size - 2) if size > 2 else F.expr("cast(array() as array<bigint>)")
     return level.select("shard", stem.alias("stem"), F.element_at("items", -1).alias("last"), "support")
 
 
@@ -198,7 +225,7 @@ def _of_level(rows: DataFrame, level: DataFrame) -> DataFrame:
 def _levels(
     baskets: DataFrame,
     needs: DataFrame,
-    candidates_of: Callable[[DataFrame, int], DataFrame],
+    candidates_of: Callable[[DataFrame, int, DataFrame], DataFrame],
     pair_level: Callable[[DataFrame], DataFrame] | None,
     max_size: int | None,
 ) -> DataFrame:
@@ -207,9 +234,11 @@ def _levels(
     ``pair_level`` counts the second level where its pairs occur; without it the pairs come from
     ``candidates_of`` like every later level.
     """
-    singles = _singles(baskets, needs)
-    frequent_items = singles.select("shard", F.col("items")[0].alias("item"))
-    kept = written(baskets.join(frequent_items, ["shard", "item"], "left_semi"), "kept-rows")
+    frequent_items, codes = _singles(baskets, needs)
+    kept = written(
+        baskets.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item")), "kept-rows"
+    )
+    singles = frequent_items.select("shard", F.array("code").alias("items"), "support")
     single_rows = kept.select("shard", "basket", F.array("item").alias("items"))
 
     level, found, rows, size = singles, singles, single_rows, 1
@@ -219,7 +248,7 @@ def _levels(
             level = written(pair_level(kept), "level-2")
             rows = None
         else:
-            candidates = written(candidates_of(level, size), f"candidates-{size}")
+            candidates = written(candidates_of(level, size, codes), f"candidates-{size}")
             if candidates.isEmpty():
                 break
             if rows is None:
@@ -232,22 +261,11 @@ def _levels(
             frequent = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
             level = written(frequent.select("shard", "items", "support"), f"level-{size}")
         found = found.unionByName(level)
-    return found.select("shard", F.size("items").alias("size"), "items", "support")
+    return _decoded(found, codes)
 
 
-def _mine(
-    baskets: DataFrame, support: int, buckets: int | None, max_size: int | None, heavy_basket: int
-) -> tuple[DataFrame, DataFrame]:
-    baskets = written(baskets.select("shard", "basket", "item"), "baskets")
-    needs = written(shard_needs(baskets, support), "needs")
-    found = _levels(
-        baskets,
-        needs,
-        next_candidates,
-        lambda kept: _pair_counts(kept, needs, heavy_basket, buckets),
-        max_size,
-    )
-    return baskets, found
+def _grown(level: DataFrame, size: int, codes: DataFrame) -> DataFrame:
+    return next_candidates(level, size)
 
 
 def frequent_itemsets(
@@ -261,8 +279,11 @@ def frequent_itemsets(
 
     ``buckets`` prunes pairs by hash-bucket counts first; the result is the same.
     """
-    one_shard = baskets.select(F.lit(0).alias("shard"), "basket", "item")
-    _, found = _mine(one_shard, support, buckets, max_size, heavy_basket)
+    rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
+    needs = _need_overall(rows, support)
+    found = _levels(
+        rows, needs, _grown, lambda kept: _pair_counts(kept, needs, heavy_basket, buckets), max_size
+    )
     return found.drop("shard")
 
 
@@ -274,25 +295,54 @@ def sharded_candidates(
     heavy_basket: int = HEAVY_BASKET,
 ) -> DataFrame:
     """(size, items) of the itemsets frequent in some shard at the shard's share of the support."""
-    _, found = _mine(baskets, support, buckets, max_size, heavy_basket)
+    rows = written(baskets.select("shard", "basket", "item"), "baskets")
+    needs = written(shard_needs(rows, support), "needs")
+    found = _levels(
+        rows, needs, _grown, lambda kept: _pair_counts(kept, needs, heavy_basket, buckets), max_size
+    )
     return found.select("size", "items").distinct()
 
 
+def bucket_counts(
+    baskets: DataFrame, support: int, buckets: int = PAIR_BUCKETS, heavy_basket: int = HEAVY_BASKET
+) -> DataFrame:
+    """(shard, bucket, n): the bucket counts that prune the pairs of the frequent items of a shard."""
+    rows = written(baskets.select("shard", "basket", "item"), "baskets")
+    needs = written(shard_needs(rows, support), "needs")
+    frequent_items, _ = _singles(rows, needs)
+    kept = rows.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item"))
+    pairs, _, _ = _light_pairs(written(kept, "kept-rows"), needs, heavy_basket)
+    return pair_buckets(pairs, buckets)
+
+
 def count_candidates(baskets: DataFrame, candidates: DataFrame, support: int) -> DataFrame:
     """(size, items, support) of the candidates in at least ``support`` baskets overall.
 
     Candidates must hold all subsets of theirs, as the union over shards does.
     """
     rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
-    candidates = written(candidates.select(F.lit(0).alias("shard"), "size", "items"), "candidates")
+    candidates = candidates.select(F.lit(0).alias("shard"), "size", "items")
     singles = candidates.where(F.col("size") == 1).select("shard", F.col("items")[0].alias("item"))
-    needs = rows.sparkSession.createDataFrame([(0, support)], "shard int, need bigint")
 
-    def given(level: DataFrame, size: int) -> DataFrame:
-        return _given_candidates(candidates.where(F.col("size") == size), level, size)
+    def given(level: DataFrame, size: int, codes: DataFrame) -> DataFrame:
+        return _given_candidates(_encoded(candidates.where(F.col("size") == size), codes), level, size)
 
-    found = _levels(rows.join(singles, ["shard", "item"], "left_semi"), needs, given, None, None)
-    return found.drop("shard")
+    wanted = rows.join(singles, ["shard", "item"], "left_semi")
+    return _levels(wanted, _need_overall(rows, support), given, None, None).drop("shard")
+
+
+def _need_overall(rows: DataFrame, support: int) -> DataFrame:
+    return rows.sparkSession.createDataFrame([(0, support)], "shard int, need bigint")
+
+
+def triple_candidates(pairs: DataFrame) -> DataFrame:
+    """(items) of the triples whose three pairs are all among ``pairs`` (items, support)."""
+    level = pairs.select(F.lit(0).alias("shard"), "items", "support")
+    totals = level.select(F.explode("items").alias("item"), "support").groupBy("item").agg(F.sum("support").alias("total"))
+    codes = written(global_position(totals, ["total", "item"], "code").select("item", "code"), "codes")
+    coded = _encoded(level.withColumn("size", F.lit(2)), codes).select("shard", "items", F.lit(0).alias("support"))
+    found = next_candidates(coded, 3).select("shard", "items", F.lit(0).alias("support"))
+    return _decoded(found, codes).select("items")
 
 
 def count_by_size(itemsets: DataFrame) -> DataFrame:

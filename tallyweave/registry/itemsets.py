@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from tallyweave.operators import baskets, itemsets
-from tallyweave.operators.skew import pairs_in_groups
 from tallyweave.plans.itemset_report import itemset_report
 from tallyweave.registry import sql_views as sql
 from tallyweave.sources import readers, stand_ins
@@ -84,15 +83,13 @@ def pcy_itemsets(spark, folder):
 
 
 def pair_bucket_counts(spark, folder):
-    rows = written(_sharded(spark, folder), "baskets")
-    return itemsets.pair_buckets(pairs_in_groups(rows, ["shard", "basket"], "item"))
+    return itemsets.bucket_counts(_sharded(spark, folder), SUPPORT)
 
 
 def triple_candidates(spark, folder):
-    one = _brand_baskets(spark, folder)
-    pairs = written(itemsets.frequent_itemsets(one, SUPPORT, max_size=2).where("size = 2"), "pairs")
-    level = pairs.select(F.lit(0).alias("shard"), "items", "support")
-    return _text(itemsets.next_candidates(level, 3).select("items"))
+    found = itemsets.frequent_itemsets(_brand_baskets(spark, folder), SUPPORT, max_size=2)
+    pairs = written(found.where(F.col("size") == 2), "pairs")
+    return _text(itemsets.triple_candidates(pairs))
 
 
 def basket_csv_scan(spark, folder):
