@@ -22,8 +22,8 @@ class ItemsetReport:
     size_counts: DataFrame  # size, itemsets
     frequent: DataFrame  # size, items, support
 
-    def write(self, path: str, mode: str = "errorifexists") -> None:
-        write_itemset_report(self.candidates, self.size_counts, self.frequent, path, mode)
+    def write(self, path: str, numeric_items: bool = False, mode: str = "errorifexists") -> None:
+        write_itemset_report(self.candidates, self.size_counts, self.frequent, path, numeric_items, mode)
 
 
 def itemset_report(

@@ -1,6 +1,6 @@
 """Writers for reports and models.  Rows are written by the executors as JSON lines or parquet."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,15 +41,50 @@ def write_review_report(report: DataFrame, path: str, mode: str = "errorifexists
     one.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
 
 
+def _labelled(label: str, count: str, *order: Column) -> Column:
+    """The rows as [[label, count], ...] in the given order."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(label).alias("label"), F.col(count).alias("count"))))
+    return F.transform(rows, lambda row: F.array(row["label"].cast("variant"), row["count"].cast("variant")))
+
+
+def write_top_states(states: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """``{"result": [[state, count], ...]}``; the list is as long as the top list asked for."""
+    result = states.agg(_labelled("state", "reviews", -F.col("reviews"), F.col("state")).alias("result"))
+    result.select(F.to_json(F.struct("result")).alias("value")).write.mode(mode).text(path)
+
+
+def write_partition_report(profile: DataFrame, years: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """``{"n_partitions": .., "n_items": [..], "result": [[year, count], ...]}``.
+
+    The lists hold one entry a partition and one a year.
+    """
+    items = F.transform(F.array_sort(F.collect_list(F.struct("partition", "items"))), lambda row: row["items"])
+    result = years.agg(_labelled("year", "reviews", F.col("year")).alias("result"))
+    one = profile.agg(F.count(F.lit(1)).alias("n_partitions"), items.alias("n_items"))
+    body = F.struct("n_partitions", "n_items", result.scalar().alias("result"))
+    one.select(F.to_json(body).alias("value")).write.mode(mode).text(path)
+
+
 def write_itemset_report(
-    candidates: DataFrame, size_counts: DataFrame, frequent: DataFrame, path: str, mode: str = "errorifexists"
+    candidates: DataFrame,
+    size_counts: DataFrame,
+    frequent: DataFrame,
+    path: str,
+    numeric_items: bool = False,
+    mode: str = "errorifexists",
 ) -> None:
     """Candidates, their counts by size, and frequent itemsets with support, each in its own folder.
 
     Itemsets are rows, sorted by size and items, because a single nested object would have to pass
-    through one task.
+    through one task.  With ``numeric_items`` candidates are ordered by their items as numbers, and
+    the items inside a frequent itemset are.
     """
-    candidates.orderBy("size", "items").write.mode(mode).json(f"{path}/candidates")
+    order = F.col("items")
+    if numeric_items:
+        order = F.transform("items", lambda item: item.cast("bigint"))
+        numbered = F.transform("items", lambda item: F.struct(item.cast("bigint").alias("number"), item.alias("item")))
+        frequent = frequent.withColumn("items", F.array_sort(numbered)["item"])
+    candidates.orderBy("size", order).write.mode(mode).json(f"{path}/candidates")
     size_counts.orderBy("size").write.mode(mode).json(f"{path}/num_candidates_by_size")
     frequent.orderBy("size", "items").write.mode(mode).json(f"{path}/frequent_itemsets")
 

@@ -116,3 +116,15 @@ def test_csv_readers(spark, tmp_path):
     (tmp_path / "b.csv").write_text("user_id,business_id\nu1,b1  \n  u2,b2\n")
     rows = readers.read_user_business(spark, str(tmp_path / "b.csv")).collect()
     assert [tuple(r) for r in rows] == [("u1", "b1"), ("u2", "b2")]
+
+
+def test_state_and_partition_files(spark, tmp_path):
+    states = spark.createDataFrame([("b", 2), ("a", 2), ("c", 9)], "state string, reviews bigint")
+    writers.write_top_states(states, str(tmp_path / "states"))
+    assert json.loads(spark.read.text(str(tmp_path / "states")).first()[0]) == {"result": [["c", 9], ["a", 2], ["b", 2]]}
+    reviews = _reviews(spark, [("b", 1.0, f"{y}-01-01", "x") for y in (2015, 2016, 2016, 2018)])
+    profile = layout.year_partition_profile(reviews, 3)
+    writers.write_partition_report(profile, exploration.years_over(reviews, 0), str(tmp_path / "parts"))
+    assert json.loads(spark.read.text(str(tmp_path / "parts")).first()[0]) == {
+        "n_partitions": 3, "n_items": [2, 0, 2], "result": [["2015", 1], ["2016", 2], ["2018", 1]]
+    }

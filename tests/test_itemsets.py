@@ -105,3 +105,13 @@ def test_report_files(spark, tmp_path):
     itemset_report(_frame(spark, _baskets(6)), 6, shards=2).write(str(tmp_path / "out"))
     sizes = spark.read.json(str(tmp_path / "out" / "num_candidates_by_size"))
     assert sizes.agg(F.sum("itemsets")).first()[0] == spark.read.json(str(tmp_path / "out" / "candidates")).count()
+
+
+def test_report_files_in_numeric_order(spark, tmp_path):
+    made = {b: {"9", "10", "100"} for b in range(3)}
+    itemset_report(_frame(spark, made), 3, shards=1).write(str(tmp_path / "out"), numeric_items=True)
+    frequent = [r["items"] for r in spark.read.json(str(tmp_path / "out" / "frequent_itemsets")).collect()]
+    assert ["9", "10", "100"] in frequent and ["9", "10"] in frequent
+    candidates = [r["items"] for r in spark.read.json(str(tmp_path / "out" / "candidates")).where("size = 2").collect()]
+    # Items are text inside a candidate, candidates are ordered by them as numbers.
+    assert candidates == [["10", "9"], ["10", "100"], ["100", "9"]]
