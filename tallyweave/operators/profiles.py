@@ -42,9 +42,10 @@ def profile_scores(
     without one of the profiles scores 0.
     """
     wanted = pairs.select("user_id", "business_id").distinct()
-    profiled = wanted.join(users.select("user_id", F.col("profile").alias("user_words")), "user_id", "left").join(
+    # Business profiles are short; the longer user profiles join last and are not moved per pair.
+    profiled = wanted.join(
         businesses.select("business_id", F.col("profile").alias("business_words")), "business_id", "left"
-    )
+    ).join(users.select("user_id", F.col("profile").alias("user_words")), "user_id", "left")
     size_u = F.coalesce(F.size("user_words"), F.lit(0))
     size_b = F.coalesce(F.size("business_words"), F.lit(0))
     shared = F.coalesce(F.size(F.array_intersect("user_words", "business_words")), F.lit(0))
