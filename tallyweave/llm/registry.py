@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL twins."""
 
-from tallyweave.llm import decontamination, mixing, quality, topk, url_rules
+from tallyweave.llm import decontamination, mixing, quality, topk, toxicity, url_rules
 
-MODULES = (mixing, url_rules, topk, decontamination, quality)
+MODULES = (mixing, url_rules, topk, decontamination, toxicity, quality)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}
