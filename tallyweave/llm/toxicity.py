@@ -6,7 +6,7 @@ come from models that did not see the row (out-of-fold), so the chain learns fro
 as the ones it gets when it scores.
 
 The classifier is fitted on a bounded sample of the labelled rows: the ``SAMPLE_ROWS`` with the smallest
-hash of their doc_id.  Its vocabulary is the ``VOCABULARY`` words and beginnings (of four and five bytes)
+hash of their doc_id.  Its vocabulary is the ``VOCABULARY`` words and beginnings (of four to eight bytes)
 whose presence tells the first category best.  Every document is scored on its whole text.
 
 Defined cases: a null or empty text has no words and is scored like any other; words are runs of
@@ -42,11 +42,11 @@ from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
 SAMPLE_ROWS = 20_000
-VOCABULARY = 256
+VOCABULARY = 512
 LEAST_DOCUMENTS = 3
 FOLDS = 5
 PENALTY = 1.0
-BEGINNINGS = (4, 5)  # bytes
+BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 SEVERE_WORDS = 3  # different telling words that make a toxic document a severe one
 
 
