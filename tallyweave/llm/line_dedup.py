@@ -19,9 +19,10 @@ an empty result.  The variants of a line take the square of its length in time,
 a half with another have them.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyweave.llm.rows import numbered
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
@@ -30,19 +31,6 @@ EDITS = 1
 _PLACE = ("doc_id", "copy", "line_no")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Add ``copy``: 0, and a further number for each further row of the same doc_id."""
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    repeated = written(repeated, "repeated-ids")
-    if repeated.isEmpty():
-        return docs.withColumn("copy", F.lit(0))
-    number = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.md5("text"))
-    again = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
-    again = again.withColumn("copy", F.row_number().over(number) - 1)
-    single = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
-    return written(single.withColumn("copy", F.lit(0)).unionByName(again), "numbered")
-
-
 def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
     cut = docs.select("doc_id", "copy", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     n = F.length("line")
@@ -123,7 +111,7 @@ def _removed(docs: DataFrame, least_chars: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (places from 0, comma-joined) of every document."""
-    docs = _numbered(docs.select("doc_id", "text"))
+    docs = numbered(docs.select("doc_id", "text"))
     removed = written(_removed(docs, least_chars), "removed")
     sizes = docs.select("doc_id", "copy", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     sizes = sizes.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("bigint"))
@@ -143,13 +131,13 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """
     if "copy" in docs.columns:
         raise ValueError("column in use: copy")
-    numbered = _numbered(docs)
-    removed = written(_removed(numbered.select("doc_id", "copy", "text"), least_chars), "removed")
+    rows = numbered(docs)
+    removed = written(_removed(rows.select("doc_id", "copy", "text"), least_chars), "removed")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     cut = F.col("removed").isNotNull()
-    out = numbered.join(removed, ["doc_id", "copy"], "left")
+    out = rows.join(removed, ["doc_id", "copy"], "left")
     out = out.withColumn("text", F.when(cut, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -172,13 +160,15 @@ WITH docs AS (
   WHERE length(line) >= 20
 ), firsts AS (
   SELECT line, any_value(n) AS n, min((doc_id, copy, line_no)) AS first, string_split(line, '') AS c FROM lines GROUP BY line
+), halves AS (  -- one edit leaves one half alone
+  SELECT line, first, n, c, k, 1 AS side, left(line, k // 2) AS half FROM firsts, unnest([n, n - 1]) AS t(k)
+  UNION ALL
+  SELECT line, first, n, c, k, 2, right(line, k - k // 2) FROM firsts, unnest([n, n - 1]) AS t(k)
 ), pairs AS (
   SELECT a.line, a.c AS x, b.c AS y, a.n AS n, b.n AS m,
          coalesce(list_position(list_transform(generate_series(1, least(a.n, b.n)), lambda i: a.c[i] = b.c[i]), false),
                   least(a.n, b.n) + 1) AS p
-  FROM firsts a JOIN firsts b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.first < a.first
-   AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)  -- one edit leaves one half alone
-        OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))
+  FROM halves a JOIN halves b USING (k, side, half) WHERE b.n BETWEEN a.n - 1 AND a.n + 1 AND b.first < a.first
 ), near AS (
   SELECT DISTINCT line FROM pairs WHERE
     CASE WHEN n = m THEN x[p + 1:] = y[p + 1:] WHEN n > m THEN x[p + 1:] = y[p:] ELSE x[p:] = y[p + 1:] END
