@@ -22,7 +22,7 @@ a half with another have them.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.rows import numbered
+from tallyweave.llm.rows import may_be_in, numbered
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
@@ -127,22 +127,25 @@ def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The documents without the lines that go; one that loses its last line that is not blank goes too.
 
-    ``n_chars``, where there is such a column, follows the text.  ``copy`` must not be a column's name.
+    ``n_chars``, where there is such a column, follows the text.  ``copy``, ``listed`` and ``removed``
+    must not be names of columns.
     """
-    if "copy" in docs.columns:
-        raise ValueError("column in use: copy")
+    if {"copy", "listed", "removed"} & set(docs.columns):
+        raise ValueError("columns in use: copy, listed, removed")
     rows = numbered(docs)
     removed = written(_removed(rows.select("doc_id", "copy", "text"), least_chars), "removed")
+    split = may_be_in(rows, removed)
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     cut = F.col("removed").isNotNull()
-    out = rows.join(removed, ["doc_id", "copy"], "left")
+    out = split.where("listed").join(removed, ["doc_id", "copy"], "left")
     out = out.withColumn("text", F.when(cut, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.where(~cut | F.col("text").rlike(r"[^\x09-\x0D\x20]")).select(*docs.columns)
+    out = out.where(~cut | F.col("text").rlike(r"[^\x09-\x0D\x20]")).select(*docs.columns)
+    return split.where("not listed").select(*docs.columns).unionByName(out)
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,10 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm.components import components, forest
+from tallyweave.llm.rows import may_be_in, numbered
 from tallyweave.llm.texts import LOWER, NOT_SPACE, column_of, mixed, prefix_hash, range_hash, spans, text_chunks, text_of
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
@@ -75,7 +76,7 @@ def _histogram(hashes: np.ndarray) -> bytes:
     return np.minimum(counts, _FULL).astype(np.uint16).tobytes()
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, node bigint, cells binary, counter int, count bigint"
+_SIGNED = "doc_id bigint, copy int, n_shingles bigint, node bigint, cells binary, counter int, count bigint"
 
 
 def _sign(width: int):
@@ -92,11 +93,12 @@ def _sign(width: int):
                     nodes.append(_node(hashes) if len(hashes) else None)
                     cells.append(_histogram(hashes))
                     np.add.at(counters, (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
-            columns = [column_of(batch, "doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+            columns = [column_of(batch, "doc_id").cast(pa.int64()), column_of(batch, "copy").cast(pa.int32())]
+            columns += [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
             columns += [pa.array(cells, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(counters)
-        columns = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        columns = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())]
         columns += [pa.array(used.astype(np.int32)), pa.array(counters[used])]
         yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -280,13 +282,14 @@ def _verify(similar: tuple[int, int]):
 
 def _verified_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
     """Links between the nodes of a candidate component that hold exactly, as spanning forests."""
-    members = written(nodes.join(clusters, "node").select("node", "component", "doc_id", "n_shingles"), "members")
+    members = nodes.join(clusters, "node").select("node", "component", "one.doc_id", "one.copy", "n_shingles")
+    members = written(members, "members")
     sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("all"), F.count(F.lit(1)).alias("n"))
     blocks = F.greatest(F.ceil(F.col("all") / CELL_SHINGLES), F.ceil(F.col("n") / GROUP_ROWS)).cast("bigint")
     sizes = written(sizes.select("component", "all", blocks.alias("blocks")), "cluster-sizes")
     total = sizes.agg(F.sum(F.col("all") * F.col("blocks"))).first()[0] or 0
     bins = max(1, -(-total // CELL_SHINGLES))
-    texts = docs.select("doc_id", "text").join(members.select("doc_id", "node"), "doc_id")
+    texts = may_be_in(docs, members).where("listed").join(members.select("doc_id", "copy", "node"), ["doc_id", "copy"])
     sets = texts.select("node", "text").mapInArrow(_fetch(width), "node bigint, hashes binary")
     rows = members.select("node", "component").join(sizes.select("component", "blocks"), "component")
     rows = written(rows.join(written(sets, "sets"), "node"), "cluster-sets")
@@ -294,14 +297,15 @@ def _verified_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, widt
     return rows.select("bin", "group", "node", "hashes").groupBy("bin").applyInPandas(_verify(similar), "u bigint, v bigint")
 
 
-def similar_documents(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every document.
+def similar_classes(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """doc_id, copy, n_shingles and ``least``, the first (doc_id, copy) reachable by links, of every document.
 
-    Two documents link when ``similar[1] * intersection >= similar[0] * union`` of their shingle sets.
+    ``docs`` has doc_id, copy and text.  Two documents link when
+    ``similar[1] * intersection >= similar[0] * union`` of their shingle sets.
     """
     if not 1 <= width <= len(_FACTORS) or not 0 < similar[0] <= similar[1]:
         raise ValueError("one to five words a shingle, similarity above 0 and up to 1")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "copy", "text")
     signed = written(docs.mapInArrow(_sign(width), _SIGNED), "signed")
     rows = signed.where(F.col("counter").isNull())
     counts = signed.where(F.col("counter").isNotNull()).groupBy("counter").agg(F.sum("count").alias("count"))
@@ -311,38 +315,41 @@ def similar_documents(docs: DataFrame, width: int = SHINGLE, similar: tuple[int,
     ranks = np.empty(len(counters), np.uint64)
     ranks[np.argsort(counters, kind="stable")] = np.arange(len(counters), dtype=np.uint64)
 
+    own = F.struct("doc_id", "copy")
     nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")
+        F.min(own).alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")
     )
     nodes = written(nodes, "nodes")
     prefixes = docs.mapInArrow(_prefixes(width, similar, ranks), "token bigint, node bigint, place int")
     prefixes = written(prefixes, "prefixes")
     clusters = components(_candidate_edges(prefixes, nodes, similar))
-    linked = components(_verified_edges(docs, nodes, clusters, width, similar))
-    linked = written(linked, "linked")
-    named = nodes.select("node", "doc_id").join(linked, "node")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
-    least = linked.join(written(least, "least"), "component").select("node", "least")
-    classes = nodes.select("node", "doc_id").join(least, "node", "left")
-    classes = written(classes.select("node", F.coalesce("least", "doc_id").alias("component_id")), "classes")
-    return rows.join(classes, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    linked = written(components(_verified_edges(docs, nodes, clusters, width, similar)), "linked")
+    first = nodes.select("node", "one").join(linked, "node").groupBy("component").agg(F.min("one").alias("least"))
+    first = linked.join(written(first, "first"), "component").select("node", "least")
+    classes = nodes.select("node", "one").join(first, "node", "left")
+    classes = written(classes.select("node", F.coalesce("least", "one").alias("least")), "classes")
+    return rows.join(classes, "node", "left").select("doc_id", "copy", "n_shingles", F.coalesce("least", own).alias("least"))
+
+
+def similar_documents(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every document."""
+    classes = similar_classes(numbered(docs.select("doc_id", "text")), width, similar)
+    return classes.select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The documents without those linked, directly or not, to one of a smaller doc_id.
+    """The documents, all columns as they are, without those linked to one of a smaller doc_id.
 
-    Of rows of one doc_id in a component the first by their columns stays.
+    ``copy`` and ``listed`` must not be names of columns.
     """
-    found = similar_documents(docs, width, similar).where("n_shingles > 0 and component_id < doc_id")
-    gone = written(found.select("doc_id").distinct(), "similar")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    repeated = written(repeated, "repeated")
-    order = Window.partitionBy("doc_id", F.md5("text")).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    again = kept.join(repeated, "doc_id").withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again.select(*kept.columns))
+    if {"copy", "listed"} & set(docs.columns):
+        raise ValueError("columns in use: copy, listed")
+    rows = numbered(docs)
+    classes = similar_classes(rows, width, similar)
+    gone = written(classes.where(F.struct("doc_id", "copy") != F.col("least")).select("doc_id", "copy"), "similar")
+    split = may_be_in(rows, gone)
+    kept = split.where("listed").join(gone, ["doc_id", "copy"], "left_anti")
+    return split.where("not listed").select(*docs.columns).unionByName(kept.select(*docs.columns))
 
 
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
