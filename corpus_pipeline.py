@@ -1,9 +1,57 @@
-"""A corpus pipeline over ``documents``: the stages and their names, in order."""
+"""A corpus pipeline over ``documents``: quality, line dedup, near duplicates, benchmark passages, mix.
 
-STAGES = []
-ORACLE_SQL = None
+Every stage takes (spark, docs, sf_dir) and returns what it keeps; it is written and read again before
+the next.  The last returns the mix: doc_id, size, source_size, target and taken of every document left.
+"""
 
+from collections.abc import Callable
 
-def run(spark, sf_dir):
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyweave.llm import decontamination, line_dedup, mixing, ngram_join, quality
+from tallyweave.storage import written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labels of those still here, does not reject."""
+    return quality.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that stand, up to one edit, earlier in the corpus."""
+    return line_dedup.dedup_lines(docs)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return ngram_join.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of the benchmark."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
+    return mixing.mix(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("line_dedup", dedup_lines),
+    ("ngram_join", keep_one),
+    ("decontamination", decontaminate),
+    ("source_mix", mix_sources),
+]
+ORACLE_SQL = None  # a fitted classifier is not SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
