@@ -31,11 +31,13 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-WORD = r"[A-Za-z0-9_]{4,}"
+# Shorter than any token that is judged, so that no token vouches for itself.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_]{4,15}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_.=-"
 SYMBOLS = len(ALPHABET) + 1  # 0 is any other character
 SAMPLE_STRINGS = 5_000
 SAMPLE_DOCUMENTS = 1_000
+BACK_OFF = 5.0
 LEAST_RATIO = 1.0  # a character, natural logarithm
 _SPAN = "array<struct<start:int,end:int>>"
 
@@ -89,12 +91,14 @@ def _pairs(strings: DataFrame) -> Counter:
     return Counter({row["pair"]: row["count"] for row in pairs.groupBy("pair").count().collect()})
 
 
-def _log_probabilities(counts: Counter) -> list[float]:
-    """log P(next symbol | symbol), with one count added to every pair."""
+def _probabilities(counts: Counter) -> list[float]:
+    """P(next symbol | symbol); rare pairs lean on how frequent the next symbol is by itself."""
+    after = [sum(counts.get(a * SYMBOLS + b, 0) for a in range(SYMBOLS)) + 0.5 for b in range(SYMBOLS)]
+    alone = [n / sum(after) for n in after]
     out = []
     for a in range(SYMBOLS):
-        row = [counts.get(a * SYMBOLS + b, 0) + 1 for b in range(SYMBOLS)]
-        out += [math.log(n / sum(row)) for n in row]
+        row = [counts.get(a * SYMBOLS + b, 0) for b in range(SYMBOLS)]
+        out += [(n + BACK_OFF * alone[b]) / (sum(row) + BACK_OFF) for b, n in enumerate(row)]
     return out
 
 
@@ -113,12 +117,13 @@ def markov_ratios(docs: DataFrame) -> list[float]:
     ids = written(ids, "secret-sample")  # at most SAMPLE_DOCUMENTS ids, a proven bound
     ordinary = docs.join(F.broadcast(ids), "doc_id").where(~some)
     words = ordinary.select(F.explode(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("string"))
-    random, plain = _log_probabilities(_pairs(strings)), _log_probabilities(_pairs(words))
-    return [a - b for a, b in zip(random, plain)]
+    # Random strings are half like the labelled ones, half of any symbols.
+    random = [(p + 1 / SYMBOLS) / 2 for p in _probabilities(_pairs(strings))]
+    return [math.log(a / b) for a, b in zip(random, _probabilities(_pairs(words)))]
 
 
 def looks_random(token: Column, ratios: list[float]) -> Column:
-    """Whether the ratio of a token is at least ``LEAST_RATIO`` a character."""
+    """Whether the ratio of a token is at least ``LEAST_RATIO`` a character; a number has no letter and is none."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     symbols = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     n = F.length(token)
@@ -129,7 +134,8 @@ def looks_random(token: Column, ratios: list[float]) -> Column:
         total = F.when(done["last"] >= 0, done["sum"] + ratio).otherwise(done["sum"])
         return F.struct(symbol.alias("last"), F.coalesce(total, F.lit(0.0)).alias("sum"))
 
-    return F.aggregate(symbols, start, step, lambda done: done["sum"]) >= LEAST_RATIO * (n - 1)
+    ratio = F.aggregate(symbols, start, step, lambda done: done["sum"])
+    return token.rlike("[A-Za-z]") & (ratio >= LEAST_RATIO * (n - 1))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
