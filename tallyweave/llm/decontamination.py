@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.fm_index import FMIndex
+from tallyweave.llm.rows import set_aside
 from tallyweave.llm.texts import (
     ALNUM,
     LOWER,
@@ -267,10 +268,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     ``n_chars``, where there is such a column, follows the text.
     """
-    added = {"n_words", "hits", "items"} & set(docs.columns)
-    if added:
-        raise ValueError(f"columns in use: {sorted(added)}")
-    return _searched(docs, benchmark, window).mapInArrow(_cut, docs.schema)
+    docs, back = set_aside(docs, ["text", "n_chars"])
+    return back(_searched(docs, benchmark, window).mapInArrow(_cut, docs.schema))
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

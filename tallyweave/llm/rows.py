@@ -1,5 +1,7 @@
 """Telling the rows of a table apart, and leaving out early what a join would leave out late."""
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,19 +9,38 @@ from tallyweave.storage import written
 
 _WORD_BITS = 32
 FILTER_BITS = 1 << 22
+NO_ID = -(2**63)  # stands for a null doc_id inside an operator, so that joins meet it; first in order
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Add ``copy``: 0, and a further number for each further row of the same doc_id, by a hash of the text."""
+    """Add ``copy``: 0, and a further number for each further row of the same doc_id, by a hash of the text.
+
+    A null doc_id becomes NO_ID; :func:`real_id` takes that back.
+    """
+    docs = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID).cast("bigint")))
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     repeated = written(repeated, "repeated-ids")
     if repeated.isEmpty():
         return docs.withColumn("copy", F.lit(0))
     number = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.md5("text"))
-    same = docs["doc_id"].eqNullSafe(repeated["doc_id"])
-    again = docs.join(repeated, same, "left_semi").withColumn("copy", F.row_number().over(number) - 1)
-    single = docs.join(repeated, same, "left_anti")
-    return written(single.withColumn("copy", F.lit(0)).unionByName(again), "numbered")
+    again = docs.join(repeated, "doc_id", "left_semi").withColumn("copy", F.row_number().over(number) - 1)
+    single = docs.join(repeated, "doc_id", "left_anti").withColumn("copy", F.lit(0))
+    return written(single.unionByName(again), "numbered")
+
+
+def real_id(doc_id: str = "doc_id") -> Column:
+    return F.nullif(F.col(doc_id), F.lit(NO_ID).cast("bigint")).alias(doc_id.split(".")[-1])
+
+
+def set_aside(docs: DataFrame, used: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but those ``used`` under names nothing else has, and the way back."""
+    names = {name: name if name in used else f"extra_{i}_" for i, name in enumerate(docs.columns)}
+    out = docs.toDF(*names.values())
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*names.values()).toDF(*names)
+
+    return out, back
 
 
 def _bit(doc_id: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.rows import may_be_in, numbered
+from tallyweave.llm.rows import may_be_in, numbered, real_id
 from tallyweave.llm.run_length_index import RunLengthIndex
 from tallyweave.llm.texts import column_of, mixed, prefix_hash, range_hash, text_bytes, text_chunks, text_of
 from tallyweave.sources.scans import spread_small_scan
@@ -311,7 +311,8 @@ def remove_repeats(docs: DataFrame, match: int = MATCH) -> DataFrame:
         F.lit(0).cast("bigint").alias("n_spans"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
-    return whole.unionByName(cut.mapInArrow(_assemble, schema))
+    out = whole.unionByName(cut.mapInArrow(_assemble, schema))
+    return out.withColumn("doc_id", real_id())
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
