@@ -10,7 +10,7 @@ nearly everything, are never what a group of candidates has in common.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.operators.ranking import global_position
@@ -20,6 +20,8 @@ from tallyweave.storage import written
 HEAVY_BASKET = 2000  # items from which a basket may be set aside while pairs are formed
 SET_ASIDE = 62  # baskets set aside per shard at most: one bit each of a long
 PAIR_BUCKETS = 30_000_000
+BUCKET_STEP = 1_000_003
+MAP_ROWS = 1_000_000  # rows of the bit map of frequent buckets up to which it may be broadcast
 
 _SET = ["shard", "items"]
 
@@ -127,22 +129,31 @@ def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets:
     return frequent.select("shard", F.array("item_1", "item_2").alias("items"), "support")
 
 
+def _bucket(buckets: int) -> Column:
+    """The bucket of a pair of item codes; plain arithmetic, so that other engines can state it."""
+    return F.pmod(F.col("item_1") * F.lit(BUCKET_STEP) + F.col("item_2"), F.lit(buckets)).cast("int")
+
+
 def pair_buckets(pairs: DataFrame, buckets: int = PAIR_BUCKETS) -> DataFrame:
-    """(shard, bucket, n): pair occurrences per hash bucket."""
-    bucket = F.pmod(F.xxhash64("item_1", "item_2"), F.lit(buckets)).cast("int")
-    return pairs.groupBy("shard", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    """(shard, bucket, n): pair occurrences per hash bucket, added up where the pairs are formed."""
+    return pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _in_frequent_buckets(pairs: DataFrame, limits: DataFrame, buckets: int) -> DataFrame:
-    """Pairs whose bucket could hold a frequent pair; a bucket never counts less than its pairs."""
-    bucket = F.pmod(F.xxhash64("item_1", "item_2"), F.lit(buckets)).cast("int")
-    frequent = (
-        pair_buckets(pairs, buckets)
-        .join(limits, "shard")
-        .where(F.col("n") + F.col("spare") >= F.col("need"))
-        .select("shard", "bucket")
-    )
-    return pairs.withColumn("bucket", bucket).join(frequent, ["shard", "bucket"], "left_semi").drop("bucket")
+    """Pairs whose bucket could hold a frequent pair; a bucket never counts less than its pairs.
+
+    The frequent buckets of a shard are a bit map, so pairs are tested where they are formed and before
+    any of them is shuffled.  The map is sent to all tasks only when it is counted to be small.
+    """
+    frequent = pair_buckets(pairs, buckets).join(limits, "shard").where(F.col("n") + F.col("spare") >= F.col("need"))
+    word, bit = F.floor(F.col("bucket") / 32).cast("int"), F.col("bucket") % 32
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    maps = frequent.groupBy("shard", word.alias("word")).agg(F.bit_or(mark).alias("map"))
+    maps = written(maps, "frequent-buckets")
+    if maps.count() <= MAP_ROWS:
+        maps = F.broadcast(maps)
+    tested = pairs.withColumn("bucket", _bucket(buckets)).withColumn("word", word).join(maps, ["shard", "word"])
+    return tested.where(F.call_function("shiftright", "map", bit).bitwiseAND(F.lit(1)) == 1).drop("bucket", "word", "map")
 
 
 def _rarer_parent(sides: DataFrame) -> DataFrame:
@@ -241,24 +252,28 @@ def _levels(
     singles = frequent_items.select("shard", F.array("code").alias("items"), "support")
     single_rows = kept.select("shard", "basket", F.array("item").alias("items"))
 
-    level, found, rows, size = singles, singles, single_rows, 1
+    level, found, size = singles, singles, 1
+    # Baskets of the itemsets of ``level``, less those that no candidate grows from; None: not formed yet.
+    rows, formed = single_rows, None
     while not level.isEmpty() and (max_size is None or size < max_size):
         size += 1
         if size == 2 and pair_level is not None:
             level = written(pair_level(kept), "level-2")
-            rows = None
+            rows, formed = None, (single_rows, singles, None)
         else:
             candidates = written(candidates_of(level, size, codes), f"candidates-{size}")
             if candidates.isEmpty():
                 break
             if rows is None:
-                # Only pairs that are the base of a triple need their baskets.
                 bases = candidates.select("shard", F.col("base").alias("items")).distinct()
-                pairs = _given_candidates(bases, singles, 2)
-                rows = _occurrences(_of_level(single_rows, singles), pairs, kept)
-            rows = written(_occurrences(_of_level(rows, level), candidates, kept), f"occurrences-{size}")
-            counts = rows.groupBy(*_SET).agg(F.count(F.lit(1)).alias("support"))
+                parent_rows, parents, grown = formed
+                grown = _given_candidates(bases, singles, 2) if grown is None else grown.join(bases, _SET, "left_semi")
+                rows = written(_occurrences(_of_level(parent_rows, parents), grown, kept), f"bases-{size}")
+            # Counted where they are formed: no occurrence of a candidate is stored.
+            counts = _occurrences(_of_level(rows, level), candidates, kept).groupBy(*_SET)
+            counts = counts.agg(F.count(F.lit(1)).alias("support"))
             frequent = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
+            rows, formed = None, (rows, level, candidates)
             level = written(frequent.select("shard", "items", "support"), f"level-{size}")
         found = found.unionByName(level)
     return _decoded(found, codes)
@@ -318,17 +333,33 @@ def bucket_counts(
 def count_candidates(baskets: DataFrame, candidates: DataFrame, support: int) -> DataFrame:
     """(size, items, support) of the candidates in at least ``support`` baskets overall.
 
-    Candidates must hold all subsets of theirs, as the union over shards does.
+    Any list of itemsets will do.  The subsets a candidate is counted through, its rarest items with
+    one more, are added to the list and left out of the result; none of them is rarer than it.
     """
     rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
-    candidates = candidates.select(F.lit(0).alias("shard"), "size", "items")
-    singles = candidates.where(F.col("size") == 1).select("shard", F.col("items")[0].alias("item"))
+    items = F.array_sort(F.array_distinct("items"))
+    given = candidates.select(F.lit(0).alias("shard"), items.alias("items")).where(F.size("items") > 0).distinct()
+    given = written(given.withColumn("size", F.size("items")), "given-candidates")
+    singles = given.select("shard", F.explode("items").alias("item")).distinct()
+    with_parents: list[DataFrame] = []
 
-    def given(level: DataFrame, size: int, codes: DataFrame) -> DataFrame:
-        return _given_candidates(_encoded(candidates.where(F.col("size") == size), codes), level, size)
+    def of_size(level: DataFrame, size: int, codes: DataFrame) -> DataFrame:
+        if not with_parents:
+            with_parents.append(written(_with_parents(_encoded(given, codes)), "candidates-with-parents"))
+        return _given_candidates(with_parents[0].where(F.size("items") == size), level, size)
 
     wanted = rows.join(singles, ["shard", "item"], "left_semi")
-    return _levels(wanted, _need_overall(rows, support), given, None, None).drop("shard")
+    found = _levels(wanted, _need_overall(rows, support), of_size, None, None)
+    return found.join(given.select("shard", "items"), _SET, "left_semi").select("size", "items", "support")
+
+
+def _with_parents(coded: DataFrame) -> DataFrame:
+    """(shard, items): the itemsets, and each beginning of one with one of its later items."""
+    n = F.size("items")
+    beginnings = coded.where(n > 1).select("shard", "items", F.explode(F.sequence(F.lit(1), n - 1)).alias("begun"))
+    each = beginnings.select("*", F.explode(F.sequence(F.col("begun") + 1, n)).alias("place"))
+    grown = F.concat(F.slice("items", F.lit(1), F.col("begun")), F.array(F.element_at("items", F.col("place"))))
+    return each.select("shard", grown.alias("items")).distinct()
 
 
 def _need_overall(rows: DataFrame, support: int) -> DataFrame:
