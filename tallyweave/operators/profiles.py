@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.sets import computed_once, jaccard_of_counts
+from tallyweave.operators.skew import spread_join
 
 
 def business_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:
@@ -20,7 +21,8 @@ def business_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:
 def user_words(reviews: DataFrame, terms: DataFrame) -> DataFrame:
     """Distinct (user_id, word) over the profiles of the businesses a user reviewed."""
     visited = reviews.select("user_id", "business_id").distinct()
-    return visited.join(terms.select("business_id", "word"), "business_id").select("user_id", "word").distinct()
+    met = spread_join(visited, terms.select("business_id", "word"), ["business_id"])
+    return met.select("user_id", "word").distinct()
 
 
 def user_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:

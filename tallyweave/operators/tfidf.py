@@ -8,6 +8,7 @@ from tallyweave.functions.text import words_without_marks
 RARE_SHARE = 0.0001
 PROFILE_WORDS = 100
 _TIE_DIGITS = 12
+_BROADCAST_WORDS = 1_000_000  # a vocabulary up to this bound may be sent to every task
 
 
 def business_word_counts(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -41,11 +42,13 @@ def term_weights(reviews: DataFrame, stopwords: DataFrame, rare_share: float = R
         raise ValueError("rare_share must be positive; it bounds the vocabulary")
     counts = business_word_counts(reviews, stopwords)
     # The vocabulary has at most 1 / rare_share words, and so has each business after this join.
-    kept = counts.join(F.broadcast(common_words(counts, rare_share).select("word")), "word")
+    bounded = rare_share * _BROADCAST_WORDS >= 1
+    sent = F.broadcast if bounded else (lambda words: words)
+    kept = counts.join(sent(common_words(counts, rare_share).select("word")), "word")
     documents = reviews.agg(F.count_distinct("business_id").alias("documents"))
     frequency = kept.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("business_id"))
-    weighted = kept.withColumn("tf", share).join(F.broadcast(frequency), "word")
+    weighted = kept.withColumn("tf", share).join(sent(frequency), "word")
     idf = F.ln(documents.scalar() / F.col("df"))
     return weighted.select("business_id", "word", "n", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
 

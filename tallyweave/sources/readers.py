@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyweave.functions.text import WHITE_SPACE
 from tallyweave.sources import schemas
 
 
@@ -26,14 +27,17 @@ def read_user_business(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schemas.USER_BUSINESS)
         .csv(path, header=True, enforceSchema=True)
-        .select(F.ltrim("user_id").alias("user_id"), F.rtrim("business_id").alias("business_id"))
+        .select(
+            F.regexp_replace("user_id", f"^{WHITE_SPACE}", "").alias("user_id"),
+            F.regexp_replace("business_id", f"{WHITE_SPACE}$", "").alias("business_id"),
+        )
     )
 
 
 def read_stopwords(spark: SparkSession, path: str, normalise: bool) -> DataFrame:
     """One word a line: trimmed and lowercased for the review report, verbatim for the content model."""
     line = F.col("value")
-    word = F.lower(F.trim(F.regexp_replace(line, r"^\s+|\s+$", ""))) if normalise else line
+    word = F.lower(F.regexp_replace(line, f"^{WHITE_SPACE}|{WHITE_SPACE}$", "")) if normalise else line
     return spark.read.text(path).select(word.alias("word")).distinct()
 
 

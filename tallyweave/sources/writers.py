@@ -9,6 +9,11 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_pairs(pairs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Pairs (u1, u2, ...) as JSON lines in their order, within each part and from part to part."""
+    pairs.orderBy("u1", "u2").write.mode(mode).json(path)
+
+
 def write_review_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The long-form review report as one JSON object with the keys A to F.
 
@@ -86,6 +91,8 @@ def write_itemset_report(
         frequent = frequent.withColumn("items", F.array_sort(numbered)["item"])
     candidates.orderBy("size", order).write.mode(mode).json(f"{path}/candidates")
     size_counts.orderBy("size").write.mode(mode).json(f"{path}/num_candidates_by_size")
+    total = size_counts.agg(F.coalesce(F.sum("itemsets"), F.lit(0)).alias("itemsets"))
+    total.write.mode(mode).json(f"{path}/num_candidates")
     frequent.orderBy("size", "items").write.mode(mode).json(f"{path}/frequent_itemsets")
 
 

@@ -5,6 +5,7 @@ lost at any time costs a task retry and never the intermediate result.  Parquet
 checkpoint keeps column pruning and gives the planner true file sizes to choose joins by.
 """
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
         named = context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    # Only a session whose executors are this process may use a folder of this machine.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _LOCAL_FOLDERS:
