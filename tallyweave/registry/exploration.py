@@ -66,8 +66,83 @@ def partition_profile_default(spark, folder):
     return layout.partition_profile(stand_ins.review_events(spark, folder))
 
 
+def partition_profile_default_total(spark, folder):
+    """What holds for any layout: no partition is negative and together they hold every row."""
+    profile = layout.partition_profile(stand_ins.review_events(spark, folder))
+    return profile.agg(F.sum("items").alias("items"), (F.min("items") >= 0).alias("counted"))
+
+
 def partition_profile_keyed(spark, folder):
-    return layout.year_partition_profile(stand_ins.review_events(spark, folder), LAYOUT_PARTITIONS)
+    """The partitions after every review was moved to that of its year."""
+    return layout.keyed_partition_profile(stand_ins.review_events(spark, folder), LAYOUT_PARTITIONS)
+
+
+def partition_profile_keyed_nulls(spark, folder):
+    """As partition_profile_keyed where some reviews have no date."""
+    events = stand_ins.review_events(spark, folder)
+    dated = F.when(F.col("review_id") % 7 != 0, F.col("date"))
+    return layout.keyed_partition_profile(events.withColumn("date", dated), LAYOUT_PARTITIONS)
+
+
+def _lines(spark, path):
+    """The JSON objects of a report file as text."""
+    return spark.read.text(path)
+
+
+def review_report_file(spark, folder):
+    """The report written as one JSON object and its words and scalars read back."""
+    path = new_path(spark, "review-report")
+    writers.write_review_report(review_report(stand_ins.reviews(spark, folder), stopwords(spark), YEAR, LONGER_THAN), path)
+    report = _lines(spark, path).select(
+        F.from_json("value", "A double, B bigint, C array<array<string>>, D array<array<string>>, E double, F array<string>").alias("r")
+    )
+    return report.select(
+        F.round("r.A", 6).alias("a"),
+        F.col("r.B").alias("b"),
+        F.round("r.E", 6).alias("e"),
+        F.array_join(F.transform("r.C", lambda c: F.array_join(c, ":")), ",").alias("c"),
+        F.array_join(F.transform("r.D", lambda d: F.array_join(d, ":")), ",").alias("d"),
+        F.array_join("r.F", ",").alias("f"),
+    )
+
+
+def states_file(spark, folder):
+    """The top states written as one JSON object and read back by place."""
+    path = new_path(spark, "states")
+    writers.write_top_states(top_states(spark, folder), path)
+    rows = _lines(spark, path).select(F.from_json("value", "result array<array<string>>").alias("r"))
+    rows = rows.select(F.posexplode("r.result").alias("place", "row"))
+    return rows.select("place", F.col("row")[0].alias("state"), F.col("row")[1].cast("bigint").alias("reviews"))
+
+
+def partition_file(spark, folder):
+    """The keyed layout and the years over a count, written as one JSON object and read back."""
+    path = new_path(spark, "partitions")
+    writers.write_partition_report(partition_profile_keyed(spark, folder), year_counts_over(spark, folder), path)
+    body = "n_partitions bigint, n_items array<bigint>, result array<array<string>>"
+    rows = _lines(spark, path).select(F.from_json("value", body).alias("r"))
+    return rows.select(
+        F.col("r.n_partitions").alias("n_partitions"),
+        F.array_join(F.transform("r.n_items", lambda n: n.cast("string")), ",").alias("n_items"),
+        F.array_join(F.transform("r.result", lambda y: F.array_join(y, ":")), ",").alias("years"),
+    )
+
+
+def _stopword_file(spark, folder):
+    """The states as a word list: blanks around them, mixed case, a word twice."""
+    path = new_path(spark, "words")
+    names = stand_ins.businesses(spark, folder).where(F.col("state").isNotNull())
+    lines = F.concat(F.lit("\u00a0 "), F.col("state"), F.lit("\t"))
+    names.select(lines.alias("value")).write.text(path)
+    return path
+
+
+def stopwords_normalised(spark, folder):
+    return readers.read_stopwords(spark, _stopword_file(spark, folder), normalise=True)
+
+
+def stopwords_verbatim(spark, folder):
+    return readers.read_stopwords(spark, _stopword_file(spark, folder), normalise=False)
 
 
 def review_json_scan(spark, folder):
@@ -101,7 +176,14 @@ QUERIES = {
     "top_states": top_states,
     "year_counts_over": year_counts_over,
     "partition_profile_default": partition_profile_default,
+    "partition_profile_default_total": partition_profile_default_total,
     "partition_profile_keyed": partition_profile_keyed,
+    "partition_profile_keyed_nulls": partition_profile_keyed_nulls,
+    "review_report_file": review_report_file,
+    "states_file": states_file,
+    "partition_file": partition_file,
+    "stopwords_normalised": stopwords_normalised,
+    "stopwords_verbatim": stopwords_verbatim,
     "review_json_scan": review_json_scan,
     "business_json_scan": business_json_scan,
 }
@@ -145,6 +227,31 @@ GROUP BY 1 HAVING count(*) > {YEAR_THRESHOLD}""",
 FROM range({LAYOUT_PARTITIONS}) p(partition)
 LEFT JOIN (SELECT year(o_orderdate) % {LAYOUT_PARTITIONS} AS partition, count(*) AS items FROM orders GROUP BY 1) c
   ON p.partition = c.partition""",
+    "partition_profile_default_total": "SELECT count(*) AS items, true AS counted FROM orders",
+    "partition_profile_keyed_nulls": f"""SELECT CAST(p.partition AS INTEGER) AS partition, coalesce(items, 0) AS items
+FROM range({LAYOUT_PARTITIONS}) p(partition)
+LEFT JOIN (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE year(o_orderdate) % {LAYOUT_PARTITIONS} END AS partition,
+             count(*) AS items FROM orders GROUP BY 1) c ON p.partition = c.partition""",
+    "review_report_file": f"""WITH {_WORDS},
+months AS ({_MONTHS.format(date="date", source="reviews")})
+SELECT (SELECT round(avg(stars), 6) FROM reviews) AS a, (SELECT count(*) FROM reviews WHERE year(date) <> {YEAR}) AS b,
+  (SELECT round(avg_words, 6) FROM lengths) AS e,
+  (SELECT string_agg(month || ':' || reviews, ',' ORDER BY reviews DESC, CAST(month AS INTEGER) DESC) FROM months) AS c,
+  (SELECT string_agg(month || ':' || words, ',' ORDER BY month) FROM month_words) AS d,
+  (SELECT string_agg(word, ',' ORDER BY n DESC, word) FROM frequent) AS f""",
+    "states_file": f"""SELECT CAST(row_number() OVER (ORDER BY reviews DESC, state) - 1 AS INTEGER) AS place, state, reviews
+FROM (SELECT state, count(*) AS reviews FROM orders o JOIN ({sql.BUSINESSES}) b ON o.o_custkey = b.business_id
+  WHERE trim(state) <> '' GROUP BY state ORDER BY reviews DESC, state LIMIT {STATES})""",
+    "partition_file": f"""SELECT CAST({LAYOUT_PARTITIONS} AS BIGINT) AS n_partitions,
+  (SELECT string_agg(coalesce(items, 0)::VARCHAR, ',' ORDER BY p.partition) FROM range({LAYOUT_PARTITIONS}) p(partition)
+   LEFT JOIN (SELECT year(o_orderdate) % {LAYOUT_PARTITIONS} AS partition, count(*) AS items FROM orders GROUP BY 1) c
+     ON p.partition = c.partition) AS n_items,
+  (SELECT coalesce(string_agg(year || ':' || reviews, ',' ORDER BY year), '') FROM (
+    SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS reviews FROM orders GROUP BY 1
+    HAVING count(*) > {YEAR_THRESHOLD})) AS years""",
+    "stopwords_normalised": f"SELECT DISTINCT lower(trim(state)) AS word FROM ({sql.BUSINESSES}) WHERE state IS NOT NULL",
+    "stopwords_verbatim": f"""SELECT DISTINCT chr(160) || ' ' || state || chr(9) AS word
+FROM ({sql.BUSINESSES}) WHERE state IS NOT NULL""",
     "review_json_scan": f"""SELECT strftime(date, '%Y') AS year, strftime(date, '%m') AS month, count(*) AS reviews,
   sum(stars) AS stars, CAST(sum(length(text)) AS BIGINT) AS characters, count(DISTINCT business_id) AS businesses
 FROM ({sql.REVIEWS}) GROUP BY 1, 2""",

@@ -86,6 +86,41 @@ def pair_bucket_counts(spark, folder):
     return itemsets.bucket_counts(_sharded(spark, folder), SUPPORT)
 
 
+def candidate_support(spark, folder):
+    """Counts of a candidate list that holds pairs and triples but none of their subsets."""
+    kept = _brand_baskets(spark, folder)
+    items = kept.select("item").distinct()
+    number = F.substring_index("item", "#", -1).cast("int")
+    named = items.select("item", number.alias("n"))
+    later = named.toDF("second", "m")
+    pairs = named.join(later, F.col("m") == F.col("n") + 1).select(F.array("item", "second").alias("items"))
+    third = named.toDF("third", "k")
+    triples = named.join(later, F.col("m") == F.col("n") + 1).join(third, F.col("k") == F.col("n") + 2)
+    triples = triples.select(F.array("third", "item", "second").alias("items"))
+    return _text(itemsets.count_candidates(kept, pairs.unionByName(triples), 1))
+
+
+def itemset_files(spark, folder):
+    """The itemset report written and read back: candidates, their numbers, frequent itemsets."""
+    path = new_path(spark, "itemset-report")
+    itemset_report(_sharded(spark, folder), SUPPORT).write(path)
+
+    def part(name, schema, *columns):
+        rows = spark.read.schema(schema).json(f"{path}/{name}")
+        return rows.select(F.lit(name).alias("part"), *columns)
+
+    none = F.lit(None)
+    items = F.array_join("items", "|").alias("items")
+    sized = "size int, items array<string>"
+    parts = [
+        part("candidates", sized, "size", items, none.cast("bigint").alias("n")),
+        part("num_candidates_by_size", "size int, itemsets bigint", "size", none.cast("string").alias("items"), F.col("itemsets").alias("n")),
+        part("num_candidates", "itemsets bigint", none.cast("int").alias("size"), none.cast("string").alias("items"), F.col("itemsets").alias("n")),
+        part("frequent_itemsets", f"{sized}, support bigint", "size", items, F.col("support").alias("n")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def triple_candidates(spark, folder):
     found = itemsets.frequent_itemsets(_brand_baskets(spark, folder), SUPPORT, max_size=2)
     pairs = written(found.where(F.col("size") == 2), "pairs")
@@ -123,6 +158,8 @@ QUERIES = {
     "pcy_candidates": pcy_candidates,
     "pcy_itemsets": pcy_itemsets,
     "pair_bucket_counts": pair_bucket_counts,
+    "candidate_support": candidate_support,
+    "itemset_files": itemset_files,
     "triple_candidates": triple_candidates,
     "basket_csv_scan": basket_csv_scan,
     "pair_csv_scan": pair_csv_scan,
@@ -182,6 +219,29 @@ ORACLE_SQL = {
     + f"SELECT size, count(*) AS itemsets FROM ({_CANDIDATES}) GROUP BY size",
     "pcy_candidates": _SHARDED + _CANDIDATES,
     "pcy_itemsets": _WHOLE,
+    "pair_bucket_counts": _SHARDED
+    + f""", codes AS (SELECT items AS item, row_number() OVER (ORDER BY sum(support), items) - 1 AS code FROM f1 GROUP BY items),
+coded AS (SELECT r.shard, r.basket, code FROM rows_ r JOIN f1 ON f1.shard = r.shard AND f1.items = r.item
+  JOIN codes ON codes.item = r.item)
+SELECT CAST(a.shard AS INTEGER) AS shard,
+  CAST((a.code * {itemsets.BUCKET_STEP} + b.code) % {itemsets.PAIR_BUCKETS} AS INTEGER) AS bucket, count(*) AS n
+FROM coded a JOIN coded b ON a.shard = b.shard AND a.basket = b.basket AND a.code < b.code GROUP BY 1, 2""",
+    "candidate_support": f"""WITH {_BRANDS}, named AS (
+  SELECT DISTINCT item, CAST(split_part(item, '#', 2) AS INTEGER) AS n FROM kept)
+SELECT 2 AS size, array_to_string(list_sort([a.item, b.item]), '|') AS items,
+  (SELECT count(*) FROM kept x JOIN kept y ON x.basket = y.basket WHERE x.item = a.item AND y.item = b.item) AS support
+FROM named a JOIN named b ON b.n = a.n + 1
+WHERE support > 0
+UNION ALL SELECT 3, array_to_string(list_sort([a.item, b.item, c.item]), '|'),
+  (SELECT count(*) FROM kept x JOIN kept y ON x.basket = y.basket JOIN kept z ON x.basket = z.basket
+   WHERE x.item = a.item AND y.item = b.item AND z.item = c.item) AS support
+FROM named a JOIN named b ON b.n = a.n + 1 JOIN named c ON c.n = a.n + 2 WHERE support > 0""",
+    "itemset_files": _SHARDED
+    + f""", listed AS ({_CANDIDATES}), whole AS ({_mined(_BRANDS, "0", SUPPORT)}{_FREQUENT})
+SELECT 'candidates' AS part, size, items, CAST(NULL AS BIGINT) AS n FROM listed
+UNION ALL SELECT 'num_candidates_by_size', size, NULL, count(*) FROM listed GROUP BY size
+UNION ALL SELECT 'num_candidates', NULL, NULL, count(*) FROM listed
+UNION ALL SELECT 'frequent_itemsets', size, items, support FROM whole""",
     "triple_candidates": _mined(_BRANDS, "0", SUPPORT)
     + """, pairs AS (SELECT split_part(items, '|', 1) AS a, split_part(items, '|', 2) AS b FROM f2)
 SELECT x.a || '|' || x.b || '|' || y.b AS items FROM pairs x

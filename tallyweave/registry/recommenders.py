@@ -60,6 +60,17 @@ def content_scores(spark, folder):
     return scores.withColumn("sim", F.round("sim", 6))
 
 
+def scores_file(spark, folder):
+    """Pairs to score and their scores, both through JSON lines."""
+    path = new_path(spark, "scores")
+    writers.write_json(_score_pairs(spark, folder), f"{path}/pairs")
+    pairs = readers.read_pairs(spark, f"{path}/pairs")
+    pairs = pairs.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("business_id").cast("bigint").alias("business_id"))
+    writers.write_json(_model(spark, folder).score(pairs, LEAST_SCORE), f"{path}/scores")
+    back = spark.read.schema("user_id bigint, business_id bigint, sim double").json(f"{path}/scores")
+    return back.withColumn("sim", F.round("sim", 6))
+
+
 def content_precision_recall(spark, folder):
     """Scored pairs against the pairs with a review."""
     found = _model(spark, folder).score(_score_pairs(spark, folder).distinct(), LEAST_SCORE)
@@ -180,6 +191,13 @@ def rating_predictions(spark, folder):
     return _predictions(spark, folder, pairs).withColumn("stars", F.round("stars", 6))
 
 
+def predictions_file(spark, folder):
+    """The predictions through JSON lines."""
+    path = new_path(spark, "predictions")
+    writers.write_json(rating_predictions(spark, folder), path)
+    return spark.read.schema("user_id bigint, business_id bigint, stars double").json(path)
+
+
 def rating_rmse(spark, folder):
     latest = written(_latest(spark, folder), "latest")
     predictions = _predictions(spark, folder, latest.select("user_id", "business_id"))
@@ -193,6 +211,8 @@ QUERIES = {
     "item_profiles": item_profiles,
     "user_profiles": user_profiles,
     "content_scores": content_scores,
+    "scores_file": scores_file,
+    "predictions_file": predictions_file,
     "content_precision_recall": content_precision_recall,
     "model_roundtrip": model_roundtrip,
     "legacy_profiles": legacy_profiles,
@@ -290,6 +310,10 @@ FROM weights""",
     "user_profiles": f"{_WEIGHTS} SELECT id AS user_id, CAST(n AS INTEGER) AS n, words AS profile FROM users",
     "content_scores": f"""{_WEIGHTS} SELECT user_id, business_id, round(sim, 6) AS sim
 FROM pairs JOIN scores USING (user_id, business_id)""",
+    "scores_file": f"""{_WEIGHTS} SELECT user_id, business_id, round(sim, 6) AS sim
+FROM pairs JOIN scores USING (user_id, business_id)""",
+    "predictions_file": f"""{_EDGES} SELECT user_id, business_id, round(p.stars, 6) AS stars
+FROM ratings JOIN predicted p USING (user_id, business_id)""",
     "content_precision_recall": f"""{_WEIGHTS}, totals AS (SELECT
   (SELECT count(*) FROM scores SEMI JOIN reviews USING (user_id, business_id)) AS hits,
   (SELECT count(*) FROM scores) AS found,

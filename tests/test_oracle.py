@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyweave.registry import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
+TYPES = {"boolean": "BOOLEAN", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
@@ -29,7 +30,7 @@ def _sorted(rows):
     return sorted(rows, key=lambda row: tuple(map(repr, row)))
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, duck, name):
     result = entry_points.queries()[name](spark, FOLDER)
     columns = sorted(result.columns)
@@ -44,7 +45,7 @@ def test_query_equals_sql(spark, duck, name):
     assert _sorted(got) == _sorted(expected)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - set(entry_points.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql_runs(spark, name):
     assert entry_points.queries()[name](spark, FOLDER).count() > 0
 
