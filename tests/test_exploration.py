@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from tallyweave import storage
 from tallyweave.functions.text import strip_edges, words, words_without_marks
 from tallyweave.operators import exploration, layout
 from tallyweave.plans.review_report import review_report
@@ -85,6 +86,47 @@ def test_default_profile_counts_every_row_and_empty_partitions(spark):
     assert profile.count() == 16 and profile.agg(F.sum("items")).first()[0] == 10
 
 
+def test_reviews_without_a_year_are_kept(spark):
+    reviews = _reviews(spark, [("b", 1.0, d, "x") for d in ("2016-01-01", None, "soon", "2017-01-01", "2018-05-05")])
+    for profile in (layout.year_partition_profile(reviews, 3), layout.keyed_partition_profile(reviews, 3)):
+        assert {tuple(r) for r in profile.collect()} == {(0, 3), (1, 1), (2, 1)}
+
+
+def test_profile_of_a_shuffled_frame_is_that_of_the_frame(spark):
+    wide = spark.range(20_000).select(F.col("id"), *[F.sha2((F.col("id") + i).cast("string"), 256).alias(f"c{i}") for i in range(6)])
+    frame = wide.groupBy("id").agg(*[F.max(f"c{i}").alias(f"c{i}") for i in range(6)])
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        real = frame.rdd.glom().map(len).collect()
+        assert [r.items for r in layout.partition_profile(frame).orderBy("partition").collect()] == real
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_local_folders_are_for_local_sessions_only(monkeypatch):
+    class Session:
+        def __init__(self, master):
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+            self.sparkContext = type(
+                "Context",
+                (),
+                {
+                    "master": master,
+                    "applicationId": f"test-{master}",
+                    "getConf": staticmethod(lambda: {}),
+                    "getCheckpointDir": staticmethod(lambda: None),
+                },
+            )
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(RuntimeError):
+            storage.shared_folder(Session(master))
+    for master in ("local", "local[4]", "local[*]"):
+        assert storage.shared_folder(Session(master))
+
+
 def test_report_file(spark, tmp_path):
     reviews = _reviews(
         spark, [("b", 4.0, "2015-03-01", "nice place"), ("b", 5.0, "2015-07-02", "nice food"), ("c", 3.0, "2014-07-02", "old")]
@@ -97,10 +139,10 @@ def test_report_file(spark, tmp_path):
 
 
 def test_stopword_loaders(spark, tmp_path):
-    (tmp_path / "stop").write_text("The\n of \ndon't\nof\n")
+    (tmp_path / "stop").write_text("The\n\u00a0of \ndon't\nof\n")
     path = str(tmp_path / "stop")
     assert {r.word for r in readers.read_stopwords(spark, path, True).collect()} == {"the", "of", "don't"}
-    assert {r.word for r in readers.read_stopwords(spark, path, False).collect()} == {"The", " of ", "of", "don't"}
+    assert {r.word for r in readers.read_stopwords(spark, path, False).collect()} == {"The", "\u00a0of ", "of", "don't"}
 
 
 def test_json_readers_tolerate_bad_lines(spark, tmp_path):

@@ -115,3 +115,20 @@ def test_report_files_in_numeric_order(spark, tmp_path):
     candidates = [r["items"] for r in spark.read.json(str(tmp_path / "out" / "candidates")).where("size = 2").collect()]
     # Items are text inside a candidate, candidates are ordered by them as numbers.
     assert candidates == [["10", "9"], ["10", "100"], ["100", "9"]]
+
+
+@pytest.mark.parametrize("support", [1, 4, 9])
+def test_any_candidate_list_is_counted(spark, support):
+    made = _baskets(6, n=80)
+    brute = _brute(made, support)
+    wanted = [("1", "2"), ("9", "3"), ("4", "5", "6"), ("7",), ("1", "11", "12", "2"), ("99", "1"), ("1", "2")]
+    listed = spark.createDataFrame([(len(w), list(w)) for w in wanted], "size int, items array<string>")
+    found = itemsets.count_candidates(_frame(spark, made), listed, support)
+    expected = {tuple(sorted(w)): brute[tuple(sorted(w))] for w in wanted if tuple(sorted(w)) in brute}
+    assert _found(found) == expected
+
+
+def test_all_buckets_frequent_or_none(spark):
+    made = _baskets(7)
+    for buckets in (1, 31, 32, 33, 10_000):
+        assert _found(itemsets.frequent_itemsets(_frame(spark, made), 5, buckets=buckets)) == _brute(made, 5)

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,21 +91,23 @@ def test_user_weights(spark):
 
 
 def _brute_predictions(pairs, edges, ratings, n):
-    near, rated = defaultdict(list), defaultdict(dict)
+    """The prediction formula on matrices: W holds shrunk similarities, R the ratings, NaN where there is none."""
+    names = sorted({b for edge in edges for b in edge[:2]} | {b for _, b, _ in ratings} | {b for _, b in pairs})
+    users = sorted({u for u, _, _ in ratings} | {u for u, _ in pairs})
+    W, R = np.full((len(names),) * 2, np.nan), np.full((len(users), len(names)), np.nan)
     for b1, b2, sim, count in edges:
-        near[b1].append((b2, sim, count))
-        near[b2].append((b1, sim, count))
-    for u, b, s in ratings:
-        rated[u][b] = s
+        i, j = names.index(b1), names.index(b2)
+        W[i, j] = W[j, i] = sim * min(1, count / 50)
+    for u, b, stars in ratings:
+        R[users.index(u), names.index(b)] = stars
     out = []
     for u, b in pairs:
-        found = [(sim * min(1.0, c / 50), other, rated[u][other]) for other, sim, c in near[b] if other in rated[u]]
-        found = sorted(found, key=lambda x: (-abs(x[0]), x[1]))[:n]
-        if found:
-            value = sum(w * s for w, _, s in found) / sum(abs(w) for w, _, _ in found)
-        else:
-            value = sum(rated[u].values()) / len(rated[u]) if rated[u] else 3.0
-        out.append((u, b, round(max(1.0, min(5.0, value)), 9)))
+        w, r = W[names.index(b)], R[users.index(u)]
+        usable = np.flatnonzero(~np.isnan(w) & ~np.isnan(r))
+        top = usable[np.lexsort((usable, -np.abs(w[usable])))][:n]
+        mean = 3.0 if np.isnan(r).all() else np.nanmean(r)
+        value = w[top] @ r[top] / np.abs(w[top]).sum() if len(top) else mean
+        out.append((u, b, round(float(np.clip(value, 1, 5)), 9)))
     return sorted(out)
 
 
@@ -165,6 +168,40 @@ def test_term_weights(spark):
     assert not any(business == "b3" for business, _ in found)
 
 
+def test_a_long_vocabulary_is_not_broadcast_and_changes_nothing(spark):
+    reviews, stop = _content_frame(spark), _stop(spark)
+    rows = [{tuple(r) for r in tfidf.term_weights(reviews, stop, share).collect()} for share in (1e-5, 1e-9)]
+    assert rows[0] == rows[1] and rows[0]
+
+
+def test_constant_and_lonely_items_form_no_pairs(spark):
+    rows = [(f"u{u}", b, s, 0) for u in range(6) for b, s in (("x", 1.0 + u % 3), ("y", 1.0 + u % 3), ("flat", 4.0))]
+    rows += [("u0", "lonely", 2.0, 0), ("u1", "lonely", 3.0, 0)]
+    frame = spark.createDataFrame(rows, RATING)
+    moments = pearson.pair_moments(pearson.latest_ratings(frame, "ts"), 3, correlated=True).collect()
+    assert {(m.b1, m.b2) for m in moments} == {("x", "y")}
+    plain = pearson.pair_moments(pearson.latest_ratings(frame, "ts"), 3).collect()
+    assert {(m.b1, m.b2, m.n) for m in plain} == {("flat", "x", 6), ("flat", "y", 6), ("x", "y", 6)}
+
+
+@pytest.mark.parametrize("heavy_user", [1, 2000])
+def test_users_set_aside_add_their_part(spark, heavy_user):
+    draw = random.Random(12)
+    rows = [(f"u{u}", f"b{b}", float(draw.randint(1, 5)), 0) for u in range(9) for b in range(8) if draw.random() < 0.8]
+    frame = pearson.latest_ratings(spark.createDataFrame(rows, RATING), "ts")
+    found = {(m.b1, m.b2): tuple(m)[2:] for m in pearson.pair_moments(frame, 4, heavy_user).collect()}
+    stars = defaultdict(dict)
+    for u, b, s, _ in rows:
+        stars[b][u] = s
+    expected = {}
+    for a, b in combinations(sorted(stars), 2):
+        both = [(stars[a][u], stars[b][u]) for u in stars[a].keys() & stars[b].keys()]
+        if len(both) >= 4:
+            x, y = np.array(both).T
+            expected[a, b] = (len(both), x.sum(), y.sum(), x @ x, y @ y, x @ y)
+    assert found == expected and len(found) > 10
+
+
 def test_rare_words_are_dropped(spark):
     text = " ".join(["common"] * 30 + ["middle"] * 3 + ["rare"])
     frame = spark.createDataFrame([("u", "b", text)], "user_id string, business_id string, text string")
