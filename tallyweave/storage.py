@@ -8,10 +8,14 @@ checkpoint keeps column pruning and gives the planner true file sizes to choose
 import re
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_PATHS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+_WRITTEN: dict[str, list[str]] = {}  # paths of the tables of each application, in order
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,13 +45,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def tables_written(spark: SparkSession) -> list[str]:
+    """Paths of the intermediate tables of this application so far, oldest first."""
+    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def delete_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        _delete(spark, path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` gave, once nothing reads them any more."""
+    for table in tables:
+        _delete(table.sparkSession, _PATHS[table])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no result of it is needed any more."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/tallyweave/{spark.sparkContext.applicationId}"
-    )
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, f"{shared_folder(spark)}/tallyweave/{spark.sparkContext.applicationId}")
+    _WRITTEN.pop(spark.sparkContext.applicationId, None)
