@@ -19,6 +19,7 @@ HEADLINE = [
     "lsh_candidates",
     "similar_pairs",
     "exact_jaccard_pairs",
+    "lsh_precision_recall",
     "item_profiles",
     "user_profiles",
     "content_scores",
