@@ -22,9 +22,9 @@ a half with another have them.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.rows import may_be_in, numbered
+from tallyweave.llm.rows import may_be_in, numbered, real_id, set_aside
 from tallyweave.sources.scans import spread_small_scan
-from tallyweave.storage import written
+from tallyweave.storage import forget, written
 
 LEAST_CHARS = 20
 EDITS = 1
@@ -59,7 +59,8 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataF
     lone = keys.join(written(shared, "shared-halves"), "half").select("h1").distinct()
     some = distinct.select("h1", "h2", "first").join(written(lone, "candidates"), "h1")
     some = written(some.select("h1", "h2", "first.*"), "candidate-places")
-    lines = _lines(docs, least_chars).select(*_PLACE, "line", "n")
+    held = may_be_in(docs, some).where("listed")
+    lines = _lines(held, least_chars).select(*_PLACE, "line", "n")
     near = lines.join(some, list(_PLACE)).select("h1", "h2", F.struct(*_PLACE).alias("first"), "line", "n")
     near = written(near, "candidate-lines")
 
@@ -89,6 +90,7 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataF
         F.when(long_goes, F.col("s2")).otherwise(F.col("h2")).alias("e2"),
     )
     pairs = written(replaced.unionByName(shorter).distinct(), "line-pairs")
+    forget(variants, groups)
     texts = near.select("h1", "h2", "line")
     earlier = near.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("line").alias("earlier"))
     checked = pairs.join(texts, ["h1", "h2"]).join(earlier, ["e1", "e2"])
@@ -117,7 +119,7 @@ def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     sizes = sizes.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("bigint"))
     none = F.array().cast("array<int>")
     return sizes.join(removed, ["doc_id", "copy"], "left").select(
-        "doc_id",
+        real_id(),
         "n_lines",
         F.size(F.coalesce("removed", none)).cast("bigint").alias("n_removed"),
         F.array_join(F.coalesce("removed", none), ",").alias("removed_lines"),
@@ -127,11 +129,9 @@ def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The documents without the lines that go; one that loses its last line that is not blank goes too.
 
-    ``n_chars``, where there is such a column, follows the text.  ``copy``, ``listed`` and ``removed``
-    must not be names of columns.
+    ``n_chars``, where there is such a column, follows the text.
     """
-    if {"copy", "listed", "removed"} & set(docs.columns):
-        raise ValueError("columns in use: copy, listed, removed")
+    docs, back = set_aside(docs, ["doc_id", "text", "n_chars"])
     rows = numbered(docs)
     removed = written(_removed(rows.select("doc_id", "copy", "text"), least_chars), "removed")
     split = may_be_in(rows, removed)
@@ -145,7 +145,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     out = out.where(~cut | F.col("text").rlike(r"[^\x09-\x0D\x20]")).select(*docs.columns)
-    return split.where("not listed").select(*docs.columns).unionByName(out)
+    out = split.where("not listed").select(*docs.columns).unionByName(out)
+    return back(out.withColumn("doc_id", real_id().cast(docs.schema["doc_id"].dataType)))
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
