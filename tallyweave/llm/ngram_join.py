@@ -5,7 +5,10 @@
    in a fixed number of counters, summed over the whole corpus.
 2. Shingles are ordered rare first by the counter they fall into, ties by hash: one total order for all
    documents.  A second scan emits each set's prefix, so that two sets with the wanted similarity share
-   a prefix shingle.  Shingles of a single node go.
+   a prefix shingle.  Sets of ``BIG`` shingles and more, whose long prefixes would meet by chance, use
+   compound tokens: the set is dealt to parts by hash, a token is all a part holds, and as one differing
+   shingle changes one part only, similar sets share a token of their prefixes again.  Tokens of a single
+   node go.
 3. In the group of a shingle, length, positional and suffix filters (upper bounds of the overlap from the
    places of the shingle and from the numbers of shingles in cells of the hash) decide which nodes are
    candidates of each other.  Groups give a spanning forest of their candidates, never all pairs, and
@@ -30,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm.components import components, forest
-from tallyweave.llm.rows import may_be_in, numbered
+from tallyweave.llm.rows import may_be_in, numbered, real_id, set_aside
 from tallyweave.llm.texts import LOWER, NOT_SPACE, column_of, mixed, prefix_hash, range_hash, spans, text_chunks, text_of
 from tallyweave.sources.scans import spread_small_scan
-from tallyweave.storage import written
+from tallyweave.storage import forget, written
 
 SHINGLE = 3
 SIMILAR = (90, 100)  # at least 90 of 100: integers, so that equality is exact
@@ -41,6 +44,8 @@ COUNTER_BITS = 16
 CELLS = 32
 GROUP_ROWS = 2048
 CELL_SHINGLES = 1 << 20
+BIG = 200
+PART_SHINGLES = 2.5  # at least, and less than twice as many, on average
 BIN_ROWS = 50_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _FULL = 65535
@@ -117,25 +122,68 @@ def _least_overlap(total, similar: tuple[int, int]):
     return -(-p * total // (p + q))
 
 
-def _prefixes(width: int, similar: tuple[int, int], ranks: np.ndarray):
+def single_prefix(hashes: np.ndarray, ranks: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a set, n - ceil(similarity * n) + 1 of them, and their places."""
+    p, q = similar
+    n = len(hashes)
+    size = n - (-(-p * n // q)) + 1
+    names = rare_first(hashes, ranks)
+    if size < n:
+        names = np.partition(names, size - 1)[:size]
+    return np.sort(names), np.arange(len(names), dtype=np.int32)
+
+
+def compound_prefix(hashes: np.ndarray, ranks: np.ndarray, parts: int, differ: int) -> np.ndarray:
+    """Tokens of the ``differ + 1`` parts with the rarest shingles: two sets with up to ``differ`` shingles
+    in one of them only share one, as each of those shingles changes one part."""
+    part = (hashes >> np.uint64(20)) & np.uint64(parts - 1)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    content = np.add.reduceat(mixed(hashes[order]), first)
+    tokens = mixed(content + (part[first] + np.uint64(parts)) * _FACTORS[0])
+    rarest = np.minimum.reduceat(rare_first(hashes, ranks)[order], first)
+    return tokens[np.argsort(rarest)[: differ + 1]]
+
+
+def _level(n: int) -> int:
+    return int(n / PART_SHINGLES).bit_length() - 1
+
+
+def prefix_tokens(hashes: np.ndarray, ranks: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of which two similar sets share one at least, and their places (0 for compound ones)."""
     p, q = similar
+    n = len(hashes)
+    # Parts must outnumber the shingles that may differ by far.
+    big = BIG if (q - p) * 100 <= 12 * p else np.inf
+    tokens, places = [], []
+    if n * p < big * q:  # a similar set may be a small one
+        single, place = single_prefix(hashes, ranks, similar)
+        tokens.append(single)
+        places.append(place)
+    if n >= big:
+        differ = (q - p) * n // p  # most that a similar set may differ in, either way
+        for level in {_level(n), _level(max(BIG, -(-n * p // q)))}:
+            tokens.append(compound_prefix(hashes, ranks, 1 << level, differ))
+            places.append(np.zeros(len(tokens[-1]), np.int32))
+    return np.concatenate(tokens), np.concatenate(places)
+
 
+def _prefixes(width: int, similar: tuple[int, int], ranks: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             tokens, nodes, places = [], [], []
             for _, _, data, offsets in text_chunks(column_of(batch, "text")):
                 for hashes in shingle_sets(data, offsets, width):
-                    n = len(hashes)
-                    node = _node(hashes) if n else None
+                    node = _node(hashes) if len(hashes) else None
                     if node is None or node in seen:
                         continue
                     seen.add(node)
-                    size = n + (-p * n // q) + 1  # n - ceil(n p / q) + 1
-                    tokens.append(np.partition(rare_first(hashes, ranks), size - 1)[:size] if size < n else rare_first(hashes, ranks))
-                    tokens[-1] = np.sort(tokens[-1])
-                    nodes.append(np.full(size, node))
-                    places.append(np.arange(size, dtype=np.int32))
+                    token, place = prefix_tokens(hashes, ranks, similar)
+                    tokens.append(token)
+                    nodes.append(np.full(len(token), node))
+                    places.append(place)
             if tokens:
                 columns = [np.concatenate(tokens).view(np.int64), np.concatenate(nodes), np.concatenate(places)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "place"])
@@ -221,7 +269,10 @@ def _candidate_edges(prefixes: DataFrame, sets: DataFrame, similar: tuple[int, i
     bins = max(1, -(-shared.count() // BIN_ROWS))
     rows = shared.withColumn("bin", F.pmod(F.xxhash64("group"), F.lit(bins)))
     rows = rows.select("bin", "group", "node", "place", "n_shingles", "cells")
-    return rows.groupBy("bin").applyInPandas(_candidates(similar), "u bigint, v bigint")
+    edges = rows.groupBy("bin").applyInPandas(_candidates(similar), "u bigint, v bigint").distinct()
+    edges = written(edges, "candidate-edges")
+    forget(prefixes, groups, shared)
+    return edges
 
 
 def _fetch(width: int):
@@ -334,22 +385,19 @@ def similar_classes(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, i
 def similar_documents(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every document."""
     classes = similar_classes(numbered(docs.select("doc_id", "text")), width, similar)
-    return classes.select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"))
+    return classes.select(real_id(), "n_shingles", real_id("least.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The documents, all columns as they are, without those linked to one of a smaller doc_id.
-
-    ``copy`` and ``listed`` must not be names of columns.
-    """
-    if {"copy", "listed"} & set(docs.columns):
-        raise ValueError("columns in use: copy, listed")
+    """The documents, all columns as they are, without those linked to one of a smaller doc_id."""
+    docs, back = set_aside(docs, ["doc_id", "text"])
     rows = numbered(docs)
     classes = similar_classes(rows, width, similar)
     gone = written(classes.where(F.struct("doc_id", "copy") != F.col("least")).select("doc_id", "copy"), "similar")
     split = may_be_in(rows, gone)
     kept = split.where("listed").join(gone, ["doc_id", "copy"], "left_anti")
-    return split.where("not listed").select(*docs.columns).unionByName(kept.select(*docs.columns))
+    kept = split.where("not listed").select(*docs.columns).unionByName(kept.select(*docs.columns))
+    return back(kept.withColumn("doc_id", real_id().cast(docs.schema["doc_id"].dataType)))
 
 
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
