@@ -51,7 +51,10 @@ def permuted(i: Column, n: Column, choice: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, block_words: int) -> DataFrame:
-    """Rank, weight, target, blocks and slots of each source; ``sizes`` has one row a source."""
+    """Rank, weight, target, blocks and slots of each source.
+
+    ``sizes`` has one row a source; only those rows pass through the window that ranks them.
+    """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     ranked = sizes.withColumn("rank", F.row_number().over(order).cast("bigint") - 1)
     ranked = written(ranked.withColumn("weight", F.pmod("rank", F.lit(3)) + 1), "sources")
@@ -75,7 +78,7 @@ def source_targets(sizes: DataFrame, block_words: int) -> DataFrame:
     target = F.when(held, most.cast("double")).otherwise(F.lit(numerator / denominator) * F.col("weight"))
     blocks = F.ceil(size / F.lit(block_words)).cast("bigint")
     slots = F.when(held, blocks * MOST_PASSES).otherwise(
-        F.coalesce(F.least(F.round(target * blocks / size).cast("bigint"), blocks * MOST_PASSES), F.lit(0))
+        F.coalesce(F.least(F.round(F.try_divide(target * blocks, size)).cast("bigint"), blocks * MOST_PASSES), F.lit(0))
     )
     return ranked.withColumns({"target": target, "blocks": blocks, "slots": slots})
 

@@ -27,6 +27,8 @@ def test_mix_of_awkward_documents(awkward, no_docs):
     assert sum({(r["source_size"], r["target"]): r["target"] for r in rows}.values()) == pytest.approx(sum(n for _, n in texts))
     assert rows_of(mixing.mix(awkward)) == sorted((tuple(r) for r in rows), key=repr)
     assert rows_of(mixing.mix(no_docs)) == []
+    wordless = awkward.where("doc_id < 3")
+    assert {(r["size"], r["target"], r["taken"]) for r in mixing.mix(wordless).collect()} == {(0, 0.0, 0)}
 
 
 def test_mix_meets_targets(spark):
