@@ -38,12 +38,13 @@ from tallyweave.llm.texts import (
     spans,
     text_chunks,
     text_of,
+    tidy,
 )
 from tallyweave.sources.scans import spread_small_scan
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20  # of benchmark text that a task holds at a time
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 _SEPARATORS = bytes(b for b in range(256) if not ALNUM[b])
 _TO_WORDS = bytes(32 if b in _SEPARATORS else int(LOWER[b]) for b in range(256))
@@ -192,7 +193,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     out = docs
     for block in _blocks(benchmark):
         schema = T.StructType([*docs.schema.fields, *added])
-        out = out.mapInArrow(_search(phrases(block, window)), schema)
+        out = out.mapInArrow(tidy(_search(phrases(block, window))), schema)
     return out
 
 
@@ -232,7 +233,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
     found = _searched(docs.select("doc_id", "text"), benchmark, window).drop("text")
     schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    return found.mapInArrow(_digest, schema)
+    return found.mapInArrow(tidy(_digest), schema)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +270,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     ``n_chars``, where there is such a column, follows the text.
     """
     docs, back = set_aside(docs, ["text", "n_chars"])
-    return back(_searched(docs, benchmark, window).mapInArrow(_cut, docs.schema))
+    return back(_searched(docs, benchmark, window).mapInArrow(tidy(_cut), docs.schema))
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

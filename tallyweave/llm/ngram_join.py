@@ -34,7 +34,19 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm.components import components, forest
 from tallyweave.llm.rows import may_be_in, numbered, real_id, set_aside
-from tallyweave.llm.texts import LOWER, NOT_SPACE, column_of, mixed, prefix_hash, range_hash, spans, text_chunks, text_of
+from tallyweave.llm.texts import (
+    LOWER,
+    NOT_SPACE,
+    column_of,
+    mixed,
+    prefix_hash,
+    range_hash,
+    spans,
+    text_chunks,
+    text_of,
+    tidy,
+    tidy_group,
+)
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import forget, written
 
@@ -42,7 +54,7 @@ SHINGLE = 3
 SIMILAR = (90, 100)  # at least 90 of 100: integers, so that equality is exact
 COUNTER_BITS = 16
 CELLS = 32
-GROUP_ROWS = 2048
+GROUP_ROWS = 1024
 CELL_SHINGLES = 1 << 20
 BIG = 200
 PART_SHINGLES = 2.5  # at least, and less than twice as many, on average
@@ -269,7 +281,7 @@ def _candidate_edges(prefixes: DataFrame, sets: DataFrame, similar: tuple[int, i
     bins = max(1, -(-shared.count() // BIN_ROWS))
     rows = shared.withColumn("bin", F.pmod(F.xxhash64("group"), F.lit(bins)))
     rows = rows.select("bin", "group", "node", "place", "n_shingles", "cells")
-    edges = rows.groupBy("bin").applyInPandas(_candidates(similar), "u bigint, v bigint").distinct()
+    edges = rows.groupBy("bin").applyInPandas(tidy_group(_candidates(similar)), "u bigint, v bigint").distinct()
     edges = written(edges, "candidate-edges")
     forget(prefixes, groups, shared)
     return edges
@@ -341,11 +353,11 @@ def _verified_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, widt
     total = sizes.agg(F.sum(F.col("all") * F.col("blocks"))).first()[0] or 0
     bins = max(1, -(-total // CELL_SHINGLES))
     texts = may_be_in(docs, members).where("listed").join(members.select("doc_id", "copy", "node"), ["doc_id", "copy"])
-    sets = texts.select("node", "text").mapInArrow(_fetch(width), "node bigint, hashes binary")
+    sets = texts.select("node", "text").mapInArrow(tidy(_fetch(width)), "node bigint, hashes binary")
     rows = members.select("node", "component").join(sizes.select("component", "blocks"), "component")
     rows = written(rows.join(written(sets, "sets"), "node"), "cluster-sets")
     rows = _in_cells(rows, "component", "blocks").withColumn("bin", F.pmod(F.xxhash64("group"), F.lit(bins)))
-    return rows.select("bin", "group", "node", "hashes").groupBy("bin").applyInPandas(_verify(similar), "u bigint, v bigint")
+    return rows.select("bin", "group", "node", "hashes").groupBy("bin").applyInPandas(tidy_group(_verify(similar)), "u bigint, v bigint")
 
 
 def similar_classes(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -357,7 +369,7 @@ def similar_classes(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, i
     if not 1 <= width <= len(_FACTORS) or not 0 < similar[0] <= similar[1]:
         raise ValueError("one to five words a shingle, similarity above 0 and up to 1")
     docs = docs.select("doc_id", "copy", "text")
-    signed = written(docs.mapInArrow(_sign(width), _SIGNED), "signed")
+    signed = written(docs.mapInArrow(tidy(_sign(width)), _SIGNED), "signed")
     rows = signed.where(F.col("counter").isNull())
     counts = signed.where(F.col("counter").isNotNull()).groupBy("counter").agg(F.sum("count").alias("count"))
     counters = np.zeros(1 << COUNTER_BITS, np.int64)  # as many as there are counters, whatever the corpus
@@ -371,7 +383,7 @@ def similar_classes(docs: DataFrame, width: int = SHINGLE, similar: tuple[int, i
         F.min(own).alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")
     )
     nodes = written(nodes, "nodes")
-    prefixes = docs.mapInArrow(_prefixes(width, similar, ranks), "token bigint, node bigint, place int")
+    prefixes = docs.mapInArrow(tidy(_prefixes(width, similar, ranks)), "token bigint, node bigint, place int")
     prefixes = written(prefixes, "prefixes")
     clusters = components(_candidate_edges(prefixes, nodes, similar))
     linked = written(components(_verified_edges(docs, nodes, clusters, width, similar)), "linked")

@@ -29,6 +29,7 @@ from tallyweave.llm.texts import (
     spans,
     text_chunks,
     text_of,
+    tidy,
 )
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
@@ -125,7 +126,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the statistics of every document, from one scan of the texts."""
-    return docs.select("doc_id", "text").mapInArrow(_scan, "doc_id bigint, stats array<double>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(_scan), "doc_id bigint, stats array<double>")
 
 
 def checksum(doc_id: Column) -> Column:
@@ -242,11 +243,11 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
     model = QualityModel(
         np.array([row[f"mean{i}"] for i in range(k)]), np.array([max(row[f"dev{i}"], 1e-6) for i in range(k)]), None
     )
-    parts = train.mapInArrow(_normal_parts(model), "fold int, cell int, value double")
+    parts = train.mapInArrow(tidy(_normal_parts(model)), "fold int, cell int, value double")
     cells = parts.groupBy("fold", "cell").agg(F.sum("value").alias("value")).collect()
     model.weights = _solve(cells, FEATURES + 2)
     bins = (
-        train.mapInArrow(_raw_scores(model), "bin int, label double")
+        train.mapInArrow(tidy(_raw_scores(model)), "bin int, label double")
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("label"))
         .collect()
@@ -270,7 +271,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """doc_id, held_out, score and predicted of every document."""
     stats = written(document_statistics(docs), "quality-statistics")
     model = fit(stats, labels)
-    scored = stats.mapInArrow(_score_stats(model), "doc_id bigint, score double")
+    scored = stats.mapInArrow(tidy(_score_stats(model)), "doc_id bigint, score double")
     return scored.select(
         "doc_id",
         (checksum(F.col("doc_id")) == 0).alias("held_out"),
@@ -291,7 +292,7 @@ def _accepted(model: QualityModel, threshold: float):
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is not rejected."""
     stats = written(document_statistics(docs), "quality-statistics")
-    return docs.mapInArrow(_accepted(fit(stats, labels), threshold), docs.schema)
+    return docs.mapInArrow(tidy(_accepted(fit(stats, labels), threshold)), docs.schema)
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:

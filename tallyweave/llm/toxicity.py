@@ -37,6 +37,7 @@ from tallyweave.llm.texts import (
     spans,
     text_chunks,
     text_of,
+    tidy,
 )
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
@@ -178,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, category: str = "toxic", rows: int =
     sample = written(sample.withColumn("fold", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(FOLDS)).cast("int")), "toxic-sample")
     train = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "toxic-train")
     total = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("n_toxic")).first()
-    counts = train.select("text", "label").mapInArrow(_word_counts, "kind int, word binary, n bigint, n_toxic bigint")
+    counts = train.select("text", "label").mapInArrow(tidy(_word_counts), "kind int, word binary, n bigint, n_toxic bigint")
     counts = counts.groupBy("kind", "word").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
     n, t = max(total["n"], 1), total["n_toxic"]
     expected = F.col("n") * (t / n)
@@ -190,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, category: str = "toxic", rows: int =
         hashes = np.append(hashes, _salted(hash_bytes([bytes(row["word"])]), row["kind"]))
     words, first = np.unique(hashes, return_index=True)
     telling = np.array([best[i]["kind"] == 0 and best[i]["told"] > 3 and best[i]["n_toxic"] * 2 > best[i]["n"] for i in first], bool)
-    found = train.select("text", "fold", "label").mapInArrow(_presence(words), "fold int, label int, bits binary").collect()
+    found = train.select("text", "fold", "label").mapInArrow(tidy(_presence(words)), "fold int, label int, bits binary").collect()
     bits = np.array([np.frombuffer(r["bits"], np.uint8) for r in found], np.uint8).reshape(len(found), -1)
     presence = np.unpackbits(bits, axis=1)[:, : len(words)] if len(words) and len(found) else np.zeros((len(found), len(words)))
     toxic = np.array([r["label"] for r in found], int)
@@ -214,7 +215,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, p_toxic, p_severe and toxic (p_toxic of one half or more) of every document."""
     docs = docs.select("doc_id", "text")
     chain = fit(docs, labels)
-    return docs.mapInArrow(_score(chain), "doc_id bigint, p_toxic double, p_severe double, toxic boolean")
+    return docs.mapInArrow(tidy(_score(chain)), "doc_id bigint, p_toxic double, p_severe double, toxic boolean")
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
