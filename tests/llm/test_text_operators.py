@@ -97,11 +97,11 @@ def test_run_length_index():
 # ---- n-gram join
 
 
-def components_by_force(docs):
+def components_by_force(docs, width=3, similar=(90, 100)):
     sets = []
     for _, text in docs:
         w = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
-        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else ({tuple(w)} if w else set()))
+        sets.append({tuple(w[i : i + width]) for i in range(max(len(w) - width, 0) + 1)} if w else set())
     group = list(range(len(docs)))
 
     def root(i):
@@ -111,7 +111,7 @@ def components_by_force(docs):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+            if a and sets[j] and similar[1] * len(a & sets[j]) >= similar[0] * len(a | sets[j]):
                 group[root(i)] = root(j)
     order = lambda i: (docs[i][0] is not None, docs[i][0] or 0)
     least = {}
@@ -125,8 +125,8 @@ def test_similar_documents(awkward):
     assert rows_of(ngram_join.similar_documents(awkward)) == components_by_force(texts_of(awkward))
 
 
-@pytest.mark.parametrize("rows, size", [(2, 150), (2048, 420)])
-def test_similar_chains(spark, monkeypatch, rows, size):
+@pytest.mark.parametrize("rows, size, width, similar", [(2, 150, 3, (90, 100)), (2048, 420, 3, (90, 100)), (1024, 300, 5, (80, 100))])
+def test_similar_chains(spark, monkeypatch, rows, size, width, similar):
     """Chains of near copies: components reach further than links, whole groups or cut in blocks."""
     monkeypatch.setattr(ngram_join, "GROUP_ROWS", rows)
     draw = random.Random(4)
@@ -140,21 +140,25 @@ def test_similar_chains(spark, monkeypatch, rows, size):
                 words[draw.randrange(len(words))] = f"x{draw.randint(0, 5000)}"
     docs.append((999, docs[0][1]))
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    assert rows_of(ngram_join.similar_documents(frame)) == components_by_force(docs)
+    assert rows_of(ngram_join.similar_documents(frame, width, similar)) == components_by_force(docs, width, similar)
 
 
-def test_prefixes_meet():
+@pytest.mark.parametrize("similar", [(90, 100), (80, 100), (1, 2), (1, 1)])
+def test_prefixes_meet(similar):
     """Sets of just the wanted similarity share a token, at every size and on both sides of the limit for big ones."""
     draw = np.random.RandomState(5)
     ranks = draw.permutation(1 << ngram_join.COUNTER_BITS).astype(np.uint64)
     for n in (1, 2, 9, 10, 11, 19, 50, 179, 190, 199, 200, 201, 221, 222, 223, 319, 320, 321, 350, 640, 2000, 5119, 5121):
-        for extra in {0, n // 30, n // 9}:  # added to one set only; the rest of what may differ is replaced
+        p, q = similar
+        for extra in {0, n // 30, n // 9, n * (q - p) // p}:  # added to one set only; the rest of what may differ is replaced
+            if q * n < p * (n + extra):
+                continue
             whole = draw.randint(0, 2**63, n + extra + n, dtype=np.uint64)
             a = whole[:n]
-            swap = next(k for k in range(n, -1, -1) if 10 * (n - k) >= 9 * (n + extra + k))
+            swap = next(k for k in range(n, -1, -1) if q * (n - k) >= p * (n + extra + k))
             b = np.concatenate([whole[swap : n + extra], whole[n + extra : n + extra + swap]])
-            first, _ = ngram_join.prefix_tokens(np.unique(a), ranks, (90, 100))
-            second, _ = ngram_join.prefix_tokens(np.unique(b), ranks, (90, 100))
+            first, _ = ngram_join.prefix_tokens(np.unique(a), ranks, similar)
+            second, _ = ngram_join.prefix_tokens(np.unique(b), ranks, similar)
             assert len(np.intersect1d(first, second)), (n, extra, swap)
 
 
