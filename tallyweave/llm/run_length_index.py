@@ -15,7 +15,7 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks from 1 of the keys."""
     order = np.argsort(keys)
     ordered = keys[order]
-    ranks = np.empty(len(keys), np.int64)
+    ranks = np.empty(len(keys), np.int32)  # a shard has far fewer than 2^31 symbols
     ranks[order] = np.concatenate(([1], 1 + np.cumsum(ordered[1:] != ordered[:-1])))
     return ranks
 
@@ -48,7 +48,7 @@ class RunLengthIndex:
             after = np.zeros(n, np.int64)
             inside = np.flatnonzero(self.left[: max(n - width, 0)] > width)
             after[inside] = rank[inside + width]
-            levels.append(_ranks(rank * (n + 1) + after))
+            levels.append(_ranks(rank.astype(np.int64) * (n + 1) + after))
             width *= 2
         return levels
 

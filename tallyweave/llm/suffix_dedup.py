@@ -11,7 +11,7 @@
    Neighbourhoods of one document that overlap in a shard are joined first: no position is there twice.
 4. An anchor with more than ``MOST_CLASSES`` classes would fill a shard.  Its strings are counted by
    hashes instead: in blocks of starts, by the block's whole span and by what all its strings share, and
-   one by one only in blocks that neither settles.
+   in smaller blocks, at last one by one, only where neither settles it.
 
 Defined cases: a null text is an empty one; texts shorter than ``match`` lose nothing; repeated
 documents, also of one doc_id, count as elsewhere for each other; an empty table gives an empty result;
@@ -29,15 +29,25 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm.rows import may_be_in, numbered, real_id
 from tallyweave.llm.run_length_index import RunLengthIndex
-from tallyweave.llm.texts import column_of, mixed, prefix_hash, range_hash, text_bytes, text_chunks, text_of
+from tallyweave.llm.texts import (
+    column_of,
+    mixed,
+    prefix_hash,
+    range_hash,
+    text_bytes,
+    text_chunks,
+    text_of,
+    tidy,
+    tidy_group,
+)
 from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
 MATCH = 400
-MOST_CLASSES = 1024
+MOST_CLASSES = 2048
 SHARD_BYTES = 1 << 20
-BLOCK_STARTS = 24
-PIECE_BYTES = 4 << 20
+BLOCK_STARTS = (24, 4)  # neighbouring starts of a block, pass by pass; then single ones
+PIECE_BYTES = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -182,7 +192,7 @@ def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _ranges(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    return written(_with_texts(docs, wanted).mapInArrow(_hash_ranges, _RANGES), "ranges")
+    return written(_with_texts(docs, wanted).mapInArrow(tidy(_hash_ranges), _RANGES), "ranges")
 
 
 def _twice(rows: DataFrame, column: str) -> DataFrame:
@@ -194,41 +204,47 @@ def _hot_spans(docs: DataFrame, hot: DataFrame, match: int) -> DataFrame:
     """Spans of the classes of hot anchors, by counting their strings without gathering an anchor's.
 
     Strings are told apart by where they start around the anchor, so only equally placed ones are
-    compared and no string meets itself.  All strings of a block share the block's core, also in a block
-    that the end of a text cuts short.
+    compared and no string meets itself.  Blocks of neighbouring starts get smaller from pass to pass.
+    A block whose whole content is there twice is settled.  All strings of a block share its core, also
+    where the end of a text cuts the block short, so a block whose core is there once is settled too.
     """
     reach = match - _anchor_bytes(match)
-    step = min(BLOCK_STARTS, max(1, match // 4))
-    origin, last = F.col("place") - reach, F.col("end") - match
-    blocks = hot.where(last >= F.col("begin")).select(
-        "doc_id", "copy", "anchor", "begin", origin.alias("origin"), last.alias("last"), F.explode(F.sequence(F.lit(0), F.lit(reach // step))).alias("block")
-    )
-    start = F.col("origin") + F.col("block") * step
-    blocks = blocks.select(
-        "doc_id",
-        "copy",
-        "anchor",
-        "origin",
-        F.xxhash64("anchor", "block").alias("salt"),
-        F.greatest("begin", start).alias("begin"),
-        (F.least(F.col("last"), start + step - 1) + match).alias("end"),
-        (start + step - 1).alias("core"),
-        (start + match).alias("stop"),
-    )
-    full = _ranges(docs, blocks.where(F.col("end") - F.col("begin") >= match))
-    whole, core = _twice(full, "whole"), _twice(full, "core")
-    settled = written(full.join(whole, "whole"), "settled")
-    undecided = written(full.join(whole, "whole", "left_anti").join(core, "core"), "undecided")
-    # Settled blocks take part as what undecided strings may equal: one block of each content.
-    beside = settled.join(written(undecided.select("core").distinct(), "cores"), "core").dropDuplicates(["core", "whole"])
-    lone = undecided.unionByName(beside.select(*undecided.columns))
-    lone = lone.withColumn("begin", F.explode(F.sequence("begin", F.col("end") - match))).withColumn("end", F.col("begin") + match)
-    offset = F.xxhash64("anchor", F.col("begin") - F.col("origin"))
-    lone = lone.select("doc_id", "copy", "anchor", "origin", offset.alias("salt"), "begin", "end", F.col("begin").alias("core"), F.col("end").alias("stop"))
-    single = _ranges(docs, lone)
-    matched = single.join(_twice(single, "whole"), "whole")
-    columns = ["doc_id", "copy", "begin", "end"]
-    return settled.select(*columns).unionByName(matched.select(*columns))
+    rows = hot.where(F.col("end") - F.col("begin") >= match)
+    rows = rows.select("doc_id", "copy", "anchor", (F.col("place") - reach).alias("origin"), "begin", "end")
+    columns = ["doc_id", "copy", "anchor", "origin", "begin", "end"]
+    steps = sorted({min(step, max(1, match // 4)) for step in BLOCK_STARTS} | {1}, reverse=True)
+    found = None
+    for step in steps:
+        first = F.floor((F.col("begin") - F.col("origin")) / step)
+        last = F.floor((F.col("end") - match - F.col("origin")) / step)
+        blocks = rows.withColumn("block", F.explode(F.sequence(first, last)))
+        start = F.col("origin") + F.col("block") * step
+        blocks = blocks.select(
+            "doc_id",
+            "copy",
+            "anchor",
+            "origin",
+            F.xxhash64("anchor", F.lit(step), "block").alias("salt"),
+            F.greatest("begin", start).alias("begin"),
+            F.least("end", start + step - 1 + match).alias("end"),
+            (start + step - 1).alias("core"),
+            (start + match).alias("stop"),
+        )
+        full = _ranges(docs, blocks)
+        whole = _twice(full, "whole")
+        settled = written(full.join(whole, "whole"), "settled")
+        found = settled.select("doc_id", "copy", "begin", "end") if found is None else found.unionByName(
+            settled.select("doc_id", "copy", "begin", "end")
+        )
+        if step == 1:
+            break
+        undecided = full.join(whole, "whole", "left_anti").join(_twice(full, "core"), "core")
+        undecided = written(undecided, "undecided")
+        # Settled blocks go on as what undecided strings may equal: one block of each content.
+        beside = settled.join(written(undecided.select("core").distinct(), "cores"), "core")
+        beside = beside.dropDuplicates(["core", "whole"])
+        rows = undecided.select(*columns).unionByName(beside.select(*columns))
+    return found
 
 
 def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
@@ -236,7 +252,7 @@ def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
 
     ``docs`` has doc_id, copy and text; a document with nothing repeated has no row.
     """
-    found = written(docs.mapInArrow(_find_anchors(match), _ANCHORS), "anchors")
+    found = written(docs.mapInArrow(tidy(_find_anchors(match)), _ANCHORS), "anchors")
     often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     found = written(found.join(written(often, "repeated-anchors"), "anchor"), "shared-anchors")
     classes = found.groupBy("anchor", "class").agg(
@@ -255,8 +271,8 @@ def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
     size = plain.agg(F.sum(F.col("end") - F.col("begin"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     plain = plain.select("doc_id", "copy", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "begin", "end")
-    pieces = _with_texts(docs, plain).mapInArrow(_cut_out, "shard bigint, doc_id bigint, copy int, begin bigint, piece binary")
-    indexed = pieces.groupBy("shard").applyInPandas(_index_shard(match), _SPANS)
+    pieces = _with_texts(docs, plain).mapInArrow(tidy(_cut_out), "shard bigint, doc_id bigint, copy int, begin bigint, piece binary")
+    indexed = pieces.groupBy("shard").applyInPandas(tidy_group(_index_shard(match)), _SPANS)
     spans = direct.unionByName(indexed)
     hot = texts.where(F.col("classes") > MOST_CLASSES)
     if not hot.isEmpty():
@@ -311,7 +327,7 @@ def remove_repeats(docs: DataFrame, match: int = MATCH) -> DataFrame:
         F.lit(0).cast("bigint").alias("n_spans"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
-    out = whole.unionByName(cut.mapInArrow(_assemble, schema))
+    out = whole.unionByName(cut.mapInArrow(tidy(_assemble), schema))
     return out.withColumn("doc_id", real_id())
 
 
