@@ -57,7 +57,9 @@ CELLS = 32
 GROUP_ROWS = 1024
 CELL_SHINGLES = 1 << 20
 BIG = 200
-PART_SHINGLES = 2.5  # at least, and less than twice as many, on average
+# Shingles of a part, at least and less than twice as many on average, by the share of a set that a
+# similar set may differ in: parts that hold any must outnumber those shingles by far.
+PART_SHINGLES = ((0.12, 2.5), (0.27, 1.25))
 BIN_ROWS = 50_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _FULL = 65535
@@ -146,8 +148,9 @@ def single_prefix(hashes: np.ndarray, ranks: np.ndarray, similar: tuple[int, int
 
 
 def compound_prefix(hashes: np.ndarray, ranks: np.ndarray, parts: int, differ: int) -> np.ndarray:
-    """Tokens of the ``differ + 1`` parts with the rarest shingles: two sets with up to ``differ`` shingles
-    in one of them only share one, as each of those shingles changes one part."""
+    """Tokens of ``differ + 1`` parts: two sets with up to ``differ`` shingles in one of them only share
+    one, as each of those shingles changes one part.  The parts with most shingles come first, as what
+    they hold is the rarest, then those with the rarest shingle."""
     part = (hashes >> np.uint64(20)) & np.uint64(parts - 1)
     order = np.argsort(part, kind="stable")
     part = part[order]
@@ -155,19 +158,20 @@ def compound_prefix(hashes: np.ndarray, ranks: np.ndarray, parts: int, differ: i
     content = np.add.reduceat(mixed(hashes[order]), first)
     tokens = mixed(content + (part[first] + np.uint64(parts)) * _FACTORS[0])
     rarest = np.minimum.reduceat(rare_first(hashes, ranks)[order], first)
-    return tokens[np.argsort(rarest)[: differ + 1]]
+    held = np.diff(np.append(first, len(part)))
+    return tokens[np.lexsort((rarest, -held))[: differ + 1]]
 
 
-def _level(n: int) -> int:
-    return int(n / PART_SHINGLES).bit_length() - 1
+def _level(n: int, part: float) -> int:
+    return int(n / part).bit_length() - 1
 
 
 def prefix_tokens(hashes: np.ndarray, ranks: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of which two similar sets share one at least, and their places (0 for compound ones)."""
     p, q = similar
     n = len(hashes)
-    # Parts must outnumber the shingles that may differ by far.
-    big = BIG if (q - p) * 100 <= 12 * p else np.inf
+    part = next((size for share, size in PART_SHINGLES if q - p <= share * p), None)
+    big = BIG if part else np.inf
     tokens, places = [], []
     if n * p < big * q:  # a similar set may be a small one
         single, place = single_prefix(hashes, ranks, similar)
@@ -175,7 +179,7 @@ def prefix_tokens(hashes: np.ndarray, ranks: np.ndarray, similar: tuple[int, int
         places.append(place)
     if n >= big:
         differ = (q - p) * n // p  # most that a similar set may differ in, either way
-        for level in {_level(n), _level(max(BIG, -(-n * p // q)))}:
+        for level in {_level(n, part), _level(max(BIG, -(-n * p // q)), part)}:
             tokens.append(compound_prefix(hashes, ranks, 1 << level, differ))
             places.append(np.zeros(len(tokens[-1]), np.int32))
     return np.concatenate(tokens), np.concatenate(places)
