@@ -192,7 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, category: str = "toxic", rows: int =
     words, first = np.unique(hashes, return_index=True)
     telling = np.array([best[i]["kind"] == 0 and best[i]["told"] > 3 and best[i]["n_toxic"] * 2 > best[i]["n"] for i in first], bool)
     found = train.select("text", "fold", "label").mapInArrow(tidy(_presence(words)), "fold int, label int, bits binary").collect()
-    bits = np.array([np.frombuffer(r["bits"], np.uint8) for r in found], np.uint8).reshape(len(found), -1)
+    bits = np.zeros((0, 0), np.uint8)
+    if found:
+        bits = np.array([np.frombuffer(r["bits"], np.uint8) for r in found], np.uint8).reshape(len(found), -1)
     presence = np.unpackbits(bits, axis=1)[:, : len(words)] if len(words) and len(found) else np.zeros((len(found), len(words)))
     toxic = np.array([r["label"] for r in found], int)
     severe = (toxic == 1) & (presence[:, telling].sum(1) >= SEVERE_WORDS)
