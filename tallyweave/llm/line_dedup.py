@@ -1,7 +1,10 @@
 """Line dedup: a line goes when an equal line, or one within one edit, stands earlier in the corpus.
 
 Lines are ordered by doc_id, then by their place in the document.  An edit inserts, deletes or replaces
-one code point.  Lines shorter than ``LEAST_CHARS`` code points always stay.
+one code point.  Two least lengths in code points: ``least_chars`` for the match within one edit, and
+``exact_chars`` for equal lines, below ``least_chars`` only of lines that are not blank.  ``dedup_lines``
+removes equal lines of every length; ``removed_lines``, and with it op3 and its SQL twin, takes
+``LEAST_CHARS`` for both unless told otherwise.
 
 1. Equal lines, by 128 bits of hash, become one row with their first place; map-side, so a line that
    a third of the documents share is a few rows.
@@ -27,14 +30,16 @@ from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import forget, written
 
 LEAST_CHARS = 20
+EVERY_LENGTH = 1
 EDITS = 1
+_MARK = r"[^\x09-\x0D\x20]"  # a line or text with none is blank
 _PLACE = ("doc_id", "copy", "line_no")
 
 
-def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, least_chars: int, exact_chars: int) -> DataFrame:
     cut = docs.select("doc_id", "copy", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     n = F.length("line")
-    return cut.where(n >= least_chars).select(
+    return cut.where((n >= least_chars) | ((n >= exact_chars) & F.col("line").rlike(_MARK))).select(
         *_PLACE, "line", n.alias("n"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
     )
 
@@ -60,7 +65,7 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataF
     some = distinct.select("h1", "h2", "first").join(written(lone, "candidates"), "h1")
     some = written(some.select("h1", "h2", "first.*"), "candidate-places")
     held = may_be_in(docs, some).where("listed")
-    lines = _lines(held, least_chars).select(*_PLACE, "line", "n")
+    lines = _lines(held, least_chars, least_chars).select(*_PLACE, "line", "n")
     near = lines.join(some, list(_PLACE)).select("h1", "h2", F.struct(*_PLACE).alias("first"), "line", "n")
     near = written(near, "candidate-lines")
 
@@ -98,9 +103,10 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataF
     return checked.where((distance >= 0) & (distance <= EDITS)).select("h1", "h2").distinct()
 
 
-def _removed(docs: DataFrame, least_chars: int) -> DataFrame:
+def _removed(docs: DataFrame, least_chars: int, exact_chars: int) -> DataFrame:
     """doc_id, copy and the places of the lines that go, for documents that lose any."""
-    lines = _lines(docs, least_chars).withColumn("halves", _half_keys(F.col("line"), F.col("n")))
+    lines = _lines(docs, least_chars, exact_chars)
+    lines = lines.withColumn("halves", F.when(F.col("n") >= least_chars, _half_keys(F.col("line"), F.col("n"))))
     lines = written(lines.drop("line", "n"), "lines")
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.first("halves").alias("halves"))
     distinct = written(distinct, "distinct-lines")
@@ -111,10 +117,10 @@ def _removed(docs: DataFrame, least_chars: int) -> DataFrame:
     return gone.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))
 
 
-def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, exact_chars: int = LEAST_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (places from 0, comma-joined) of every document."""
     docs = numbered(docs.select("doc_id", "text"))
-    removed = written(_removed(docs, least_chars), "removed")
+    removed = written(_removed(docs, least_chars, exact_chars), "removed")
     sizes = docs.select("doc_id", "copy", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     sizes = sizes.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("bigint"))
     none = F.array().cast("array<int>")
@@ -126,14 +132,14 @@ def removed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, exact_chars: int = EVERY_LENGTH) -> DataFrame:
     """The documents without the lines that go; one that loses its last line that is not blank goes too.
 
     ``n_chars``, where there is such a column, follows the text.
     """
     docs, back = set_aside(docs, ["doc_id", "text", "n_chars"])
     rows = numbered(docs)
-    removed = written(_removed(rows.select("doc_id", "copy", "text"), least_chars), "removed")
+    removed = written(_removed(rows.select("doc_id", "copy", "text"), least_chars, exact_chars), "removed")
     split = may_be_in(rows, removed)
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
@@ -144,7 +150,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    out = out.where(~cut | F.col("text").rlike(r"[^\x09-\x0D\x20]")).select(*docs.columns)
+    out = out.where(~cut | F.col("text").rlike(_MARK)).select(*docs.columns)
     out = split.where("not listed").select(*docs.columns).unionByName(out)
     return back(out.withColumn("doc_id", real_id().cast(docs.schema["doc_id"].dataType)))
 

@@ -234,6 +234,36 @@ def test_dedup_lines_keeps_columns(awkward):
     assert texts[18]["text"] == "short" and 7 not in texts and 0 in texts and 1 in texts
 
 
+def test_short_lines(spark):
+    docs = [
+        (1, "Home\nHome\n\n \nHomes\nan only line of some length"),
+        (2, "Home\n\n \nan only line of same length\nx"),
+        (3, "x"),
+        (4, "xy\n\n"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    kept = {row["doc_id"]: row["text"] for row in line_dedup.dedup_lines(frame).collect()}
+    # "Homes" and "xy" are one edit away only; blank lines stay; the text of 3 is nothing but a repeated line
+    assert kept == {1: "Home\n\n \nHomes\nan only line of some length", 2: "\n \nx", 4: "xy\n\n"}
+    found = {row["doc_id"]: row["removed_lines"] for row in line_dedup.removed_lines(frame, exact_chars=1).collect()}
+    assert found == {1: "1", 2: "0,3", 3: "0", 4: ""}
+
+
+def test_lines_of_every_length(spark):
+    draw = random.Random(4)
+    base = ["".join(draw.choice("abé ") for _ in range(draw.randint(0, 24))) for _ in range(25)]
+    docs = [(i, "\n".join(draw.choice(base) for _ in range(5))) for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {row["doc_id"]: row["n_removed"] for row in line_dedup.removed_lines(frame, exact_chars=1).collect()}
+    force, seen = lines_by_force(docs), set()
+    for i, text in docs:
+        for line in text.split("\n"):
+            if len(line) < 20 and line.strip():
+                force[i] += line in seen
+                seen.add(line)
+    assert found == {i: force[i] for i, _ in docs}
+
+
 # ---- decontamination
 
 
