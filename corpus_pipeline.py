@@ -2,10 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns what it keeps; it is written and read again before
 the next.  The last returns the mix: doc_id, size, source_size, target and taken of every document left.
+A stage called by itself leaves its intermediate tables, since its result may still read them; ``run``
+deletes those of a stage whose output it has written.
 Near duplicates are documents whose five-word shingles have a Jaccard similarity of 0.8 and more.
 """
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,51 +19,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SHINGLE = 5
 SIMILAR = (80, 100)
 
-_of_stages: dict[str, list[str]] = {}
 
-
-def _stage(function: Stage) -> Stage:
-    """A stage whose intermediate tables go when a later stage begins, less those its input still reads."""
-
-    @functools.wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        earlier = _of_stages.setdefault(spark.sparkContext.applicationId, [])
-        needed = docs.inputFiles()
-        done = [path for path in earlier if not any(path.rpartition("/")[2] in file for file in needed)]
-        delete_tables(spark, done)
-        before = len(tables_written(spark))
-        out = function(spark, docs, sf_dir)
-        earlier[:] = [path for path in earlier if path not in done] + tables_written(spark)[before:]
-        return out
-
-    return run_stage
-
-
-@_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels of those still here, does not reject."""
     return quality.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-@_stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand, up to one edit, earlier in the corpus."""
     return line_dedup.dedup_lines(docs)
 
 
-@_stage
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
     return ngram_join.keep_one(docs, SHINGLE, SIMILAR)
 
 
-@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes."""
     return mixing.mix(docs)
@@ -82,5 +59,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        before = len(tables_written(spark))
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        delete_tables(spark, tables_written(spark)[before:-1])
     return STAGES[-1][1](spark, docs, sf_dir)

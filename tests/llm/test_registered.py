@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyweave.llm import decontamination, quality
 from tallyweave.llm.registry import ORACLE_SQL, QUERIES
+from tallyweave.storage import tables_written
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -50,3 +51,18 @@ def test_pipeline(spark):
     mixed = corpus_pipeline.run(spark, FOLDER)
     assert mixed.columns == ["doc_id", "size", "source_size", "target", "taken"]
     assert sorted(r[0] for r in mixed.select("doc_id").collect()) == sorted(r[0] for r in kept.select("doc_id").collect())
+
+
+def test_stage_results_outlive_later_stages(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    held = corpus_pipeline.dedup_lines(spark, docs, FOLDER)
+    other = corpus_pipeline.dedup_lines(spark, docs.where("doc_id < 50"), FOLDER)
+    assert held.count() > other.count() > 0
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [corpus_pipeline.STAGES[1], corpus_pipeline.STAGES[-1]])
+    before = len(tables_written(spark))
+    first = corpus_pipeline.run(spark, FOLDER)
+    paths = tables_written(spark)[before:]
+    end = next(i for i, path in enumerate(paths) if "/stage-line_dedup-" in path)
+    assert end > 0 and not any(os.path.exists(path.removeprefix("file:")) for path in paths[:end])
+    second = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
