@@ -136,35 +136,41 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(row[0], row[1]) for row in rows]
 
 
+def _marks(column: pa.Array, sought: Phrases) -> tuple[list[int], list[list[dict]], list[list[int]]]:
+    """Number of words, merged hit spans (bytes and words) and items of every text."""
+    n_words, found, items = [], [], []
+    for first, last, data, offsets in text_chunks(column, SHARD_BYTES):
+        begin, end, texts, hit, text, window = find(data, offsets, sought)
+        n_words += np.bincount(texts, minlength=last - first).tolist()
+        marks: list[list] = [[] for _ in range(last - first)]
+        places = np.cumsum(np.bincount(texts, minlength=last - first)) - np.bincount(texts, minlength=last - first)
+        run_begin = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1] & (texts[1:] == texts[:-1])))[: len(hit)])
+        last_of = np.concatenate(((texts[1:] != texts[:-1]) | ~hit[1:], [True]))[: len(hit)]
+        run_end = np.flatnonzero(hit & last_of)
+        for b, e in zip(run_begin.tolist(), run_end.tolist()):
+            t = int(texts[b])
+            marks[t].append(
+                {
+                    "first": int(b - places[t]),
+                    "last": int(e - places[t]) + 1,
+                    "begin": int(begin[b] - offsets[t]),
+                    "end": int(end[e] - offsets[t]),
+                }
+            )
+        owned: list[set] = [set() for _ in range(last - first)]
+        for t, w in zip(text.tolist(), window.tolist()):
+            owned[t].update(sought.owners[w])
+        found += marks
+        items += [sorted(o) for o in owned]
+    return n_words, found, items
+
+
 def _search(sought: Phrases):
     """Adds a block's merged hit spans (bytes and words) and items to every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, found, items = [], [], []
-            for first, last, data, offsets in text_chunks(column_of(batch, "text"), SHARD_BYTES):
-                begin, end, texts, hit, text, window = find(data, offsets, sought)
-                n_words += np.bincount(texts, minlength=last - first).tolist()
-                marks: list[list] = [[] for _ in range(last - first)]
-                places = np.cumsum(np.bincount(texts, minlength=last - first)) - np.bincount(texts, minlength=last - first)
-                run_begin = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1] & (texts[1:] == texts[:-1])))[: len(hit)])
-                last_of = np.concatenate(((texts[1:] != texts[:-1]) | ~hit[1:], [True]))[: len(hit)]
-                run_end = np.flatnonzero(hit & last_of)
-                for b, e in zip(run_begin.tolist(), run_end.tolist()):
-                    t = int(texts[b])
-                    marks[t].append(
-                        {
-                            "first": int(b - places[t]),
-                            "last": int(e - places[t]) + 1,
-                            "begin": int(begin[b] - offsets[t]),
-                            "end": int(end[e] - offsets[t]),
-                        }
-                    )
-                owned: list[set] = [set() for _ in range(last - first)]
-                for t, w in zip(text.tolist(), window.tolist()):
-                    owned[t].update(sought.owners[w])
-                found += marks
-                items += [sorted(o) for o in owned]
+            n_words, found, items = _marks(column_of(batch, "text"), sought)
             names, columns = list(batch.schema.names), list(batch.columns)
             span = pa.list_(pa.struct([(k, pa.int64()) for k in ("first", "last", "begin", "end")]))
             added = {"n_words": pa.array(n_words, pa.int64()), "hits": pa.array(found, span)}
@@ -183,7 +189,7 @@ def _search(sought: Phrases):
     return run
 
 
-def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+def _searched(docs: DataFrame, sought: list[Phrases]) -> DataFrame:
     hit = T.StructType([T.StructField(k, T.LongType()) for k in ("first", "last", "begin", "end")])
     added = [
         T.StructField("n_words", T.LongType()),
@@ -191,9 +197,9 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
         T.StructField("items", T.ArrayType(T.LongType())),
     ]
     out = docs
-    for block in _blocks(benchmark):
+    for block in sought:
         schema = T.StructType([*docs.schema.fields, *added])
-        out = out.mapInArrow(tidy(_search(phrases(block, window))), schema)
+        out = out.mapInArrow(tidy(_search(block)), schema)
     return out
 
 
@@ -231,46 +237,67 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
-    found = _searched(docs.select("doc_id", "text"), benchmark, window).drop("text")
+    sought = [phrases(block, window) for block in _blocks(benchmark)]
+    found = _searched(docs.select("doc_id", "text"), sought).drop("text")
     schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
     return found.mapInArrow(tidy(_digest), schema)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [n for n in batch.schema.names if n not in ("n_words", "hits", "items")]
-        hits = column_of(batch, "hits")
-        if not pc.any(pc.greater(pc.list_value_length(hits), 0)).as_py():
-            yield batch.select(names)
-            continue
-        columns = [column_of(batch, n) for n in names]
-        texts, n_words = column_of(batch, "text").to_pylist(), column_of(batch, "n_words").to_pylist()
-        counts = column_of(batch, "n_chars").to_pylist() if "n_chars" in names else None
-        keep = [True] * len(texts)
-        for i, row in enumerate(hits.to_pylist()):
-            if not row:
+def _without(text: str, hits: list[dict]) -> str:
+    raw, at, kept = text.encode(), 0, []
+    for b, e in _merged(hits, "begin", "end"):
+        kept.append(raw[at:b])
+        at = e
+    return b"".join([*kept, raw[at:]]).decode()
+
+
+def _cut(sought: list[Phrases]):
+    """Cuts the hits, and what a cut brings together, until no window is left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [n for n in batch.schema.names if n not in ("n_words", "hits", "items")]
+            hits = column_of(batch, "hits")
+            if not pc.any(pc.greater(pc.list_value_length(hits), 0)).as_py():
+                yield batch.select(names)
                 continue
-            keep[i] = sum(e - b for b, e in _merged(row, "first", "last")) < n_words[i]
-            raw, at, kept = texts[i].encode(), 0, []
-            for b, e in _merged(row, "begin", "end"):
-                kept.append(raw[at:b])
-                at = e
-            texts[i] = b"".join([*kept, raw[at:]]).decode()
+            columns = [column_of(batch, n) for n in names]
+            texts, n_words = column_of(batch, "text").to_pylist(), column_of(batch, "n_words").to_pylist()
+            counts = column_of(batch, "n_chars").to_pylist() if "n_chars" in names else None
+            keep = [True] * len(texts)
+            found = {i: row for i, row in enumerate(hits.to_pylist()) if row}
+            while found:
+                for i, row in found.items():
+                    keep[i] = sum(e - b for b, e in _merged(row, "first", "last")) < n_words[i]
+                    texts[i] = _without(texts[i], row)
+                    if counts is not None:
+                        counts[i] = len(texts[i])
+                again = [i for i in found if keep[i]]
+                changed, found = pa.array([texts[i] for i in again], pa.string()), {}
+                for block in sought:
+                    sizes, rows, _ = _marks(changed, block)
+                    for i, size, row in zip(again, sizes, rows):
+                        n_words[i] = size
+                        if row:
+                            found.setdefault(i, []).extend(row)
+            columns[names.index("text")] = pa.array(texts, columns[names.index("text")].type)
             if counts is not None:
-                counts[i] = len(texts[i])
-        columns[names.index("text")] = pa.array(texts, columns[names.index("text")].type)
-        if counts is not None:
-            columns[names.index("n_chars")] = pa.array(counts, columns[names.index("n_chars")].type)
-        yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+                columns[names.index("n_chars")] = pa.array(counts, columns[names.index("n_chars")].type)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
+    return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with every hit span cut out of the text; one left without any word goes.
 
+    Words that a cut brings together can be a window too, so a changed text is searched and cut again until
+    nothing is hit.
     ``n_chars``, where there is such a column, follows the text.
     """
     docs, back = set_aside(docs, ["text", "n_chars"])
-    return back(_searched(docs, benchmark, window).mapInArrow(tidy(_cut), docs.schema))
+    sought = [phrases(block, window) for block in _blocks(benchmark)]
+    return back(_searched(docs, sought).mapInArrow(tidy(_cut(sought)), docs.schema))
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -315,6 +315,21 @@ def test_decontaminate(spark, awkward, no_docs):
     assert not any(row["contaminated"] for row in decontamination.contamination(awkward, nothing).collect())
 
 
+@pytest.mark.parametrize("block", [10, 1 << 20])
+def test_nothing_left_after_cuts(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    a, b = [f"a{i}" for i in range(10)], [f"b{i}" for i in range(10)]
+    nested = [*a[:4], *b[:5], *a, *b[5:], *a[4:]]  # a, then b, then a once more
+    docs = [(1, " ".join(["one", *nested, "two"])), (2, " ".join(nested)), (3, " ".join(["one", *a[:4], *b])), (4, "one, two")]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in docs], "doc_id bigint, text string, n_chars bigint")
+    benchmark = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "item_id bigint, text string")
+    kept = decontamination.decontaminate(frame, benchmark)
+    rows = {r["doc_id"]: r for r in kept.collect()}
+    assert {i: r["text"].split() for i, r in rows.items()} == {1: ["one", "two"], 3: ["one", *a[:4]], 4: ["one,", "two"]}
+    assert all(r["n_chars"] == len(r["text"]) for r in rows.values())
+    assert not any(r["contaminated"] for r in decontamination.contamination(kept, benchmark).collect())
+
+
 def test_fm_index():
     draw = np.random.RandomState(3)
     text = draw.randint(1, 4, 500)
