@@ -3,8 +3,9 @@
 The words of a source, documents in order of doc_id, are packed into blocks of ``block_words`` words;
 its last block may be short.  Every block of the output is a slot; output shards of ``shard_slots``
 slots draw how many of them each source fills.  The draws are multinomial given their totals: a
-pseudorandom permutation deals the slots, so over all shards a source gets exactly the slots of its
-target and never more than three passes over its blocks, which independent draws could not promise.
+permutation keyed by ``SEED`` (rounds of swap-or-not) deals the slots, so over all shards a source gets
+exactly the slots of its target and never more than three passes over its blocks, which independent draws
+could not promise.
 The i-th slot of a source takes the block that a pseudorandom index permutation of the source, one a
 pass, maps i to.  Slots and blocks meet in an equi-join on (source, block).
 
@@ -30,6 +31,8 @@ MOST_PASSES = 3
 LOOKUP_BINS = 4096
 # Primes below 2^23.  Multiplying by one that does not divide n permutes the indexes
 # below n, and the product stays in 64 bits up to n = 2^40.
+SEED = 20240229
+DEAL_ROUNDS = 48
 STEPS = (8388593, 8388587, 8388581, 8388571, 8388547, 8388539)
 
 
@@ -50,6 +53,22 @@ def permuted(i: Column, n: Column, choice: Column) -> Column:
     return F.pmod(_step(choice, n) * i + F.lit(7919).cast("bigint") * choice, n)
 
 
+def dealt_place(i: Column, n: int) -> Column:
+    """The place of index i in a permutation of 0 .. n-1 drawn by ``SEED``.
+
+    Each round pairs x with (key - x) mod n and swaps the two or not by a hash of the larger, so it takes
+    every n without a sort.
+    """
+    size = F.lit(n).cast("bigint")
+
+    def round_of(x: Column, number: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(SEED), number), size) - x, size)
+        swap = F.pmod(F.xxhash64(F.lit(SEED + 1), number, F.greatest(x, other)), F.lit(2)) == 1
+        return F.when(swap, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(DEAL_ROUNDS)), i.cast("bigint"), round_of)
+
+
 def source_targets(sizes: DataFrame, block_words: int) -> DataFrame:
     """Rank, weight, target, blocks and slots of each source.
 
@@ -97,7 +116,7 @@ def draw_slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
         "bin", F.explode(F.sequence(F.floor(F.col("begin") / width), F.floor((F.col("end") - 1) / width)))
     )
     ranges = ranges.select("source_key", "begin", "end", F.col("bin").cast("bigint").alias("bin"))
-    number = permuted(F.col("id"), F.lit(n).cast("bigint"), F.lit(0).cast("bigint")) if n else F.col("id")
+    number = dealt_place(F.col("id"), n) if n else F.col("id")
     dealt = spark.range(n).select(
         F.floor(F.col("id") / shard_slots).cast("bigint").alias("shard"), number.alias("number")
     )

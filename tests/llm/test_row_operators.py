@@ -54,6 +54,22 @@ def test_permutation(spark, n):
     assert len(places) == few and all(0 <= p < n for p in places)
 
 
+@pytest.mark.parametrize("n", [1, 2, 63, 1000])
+def test_dealt_places(spark, n):
+    got = [r["p"] for r in spark.range(n).select(mixing.dealt_place(F.col("id"), n).alias("p")).collect()]
+    assert sorted(got) == list(range(n))
+
+
+def test_shards_draw_their_sources(spark):
+    # 8388593 is -15 modulo 65536, so a fixed step gives a shard of 64 slots one source only.
+    sources = spark.createDataFrame([("=a", 0, 20000, 32768), ("=b", 1, 20000, 32768)], "source_key string, rank bigint, blocks bigint, slots bigint")
+    drawn = mixing.draw_slots(sources, 64).cache()
+    assert {r["source_key"]: (r["n"], r["d"]) for r in drawn.groupBy("source_key").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d")).collect()} == {"=a": (32768, 32768), "=b": (32768, 32768)}
+    counts = np.array([r["count"] for r in drawn.where("source_key = '=a'").groupBy("shard").count().collect()])
+    assert len(counts) == 1024 and abs(counts.mean() - 32) < 0.01
+    assert 12 < counts.var() < 20  # 64 draws of one half: 16
+
+
 # ---- URL rules
 
 
