@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     return connection
 
