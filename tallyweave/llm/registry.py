@@ -8,6 +8,7 @@ from tallyweave.llm import (
     ngram_join,
     quality,
     secrets,
+    simhash,
     suffix_dedup,
     topk,
     toxicity,
@@ -25,6 +26,7 @@ MODULES = (
     toxicity,
     ngram_join,
     quality,
+    simhash,
     conversation_repair,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
