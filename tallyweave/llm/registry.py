@@ -10,6 +10,7 @@ from tallyweave.llm import (
     secrets,
     simhash,
     suffix_dedup,
+    token_alignment,
     topk,
     toxicity,
     url_rules,
@@ -26,6 +27,7 @@ MODULES = (
     toxicity,
     ngram_join,
     quality,
+    token_alignment,
     simhash,
     conversation_repair,
 )
