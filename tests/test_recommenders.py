@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweave.operators import evaluation, neighbours, pearson, tfidf
+from tallyweave.operators import evaluation, neighbours, pearson, products, tfidf
 from tallyweave.plans import collaborative, content
 from tallyweave.sources import readers, writers
+from tallyweave.storage import tables_written
 
 RATING = "user_id string, business_id string, stars double, ts int"
 
@@ -264,3 +265,68 @@ def test_rmse_and_precision(spark):
     assert (quality.hits, quality.precision, quality.recall) == (2, 2 / 3, 1.0)
     empty = predicted.where(F.lit(False))
     assert evaluation.precision_recall(empty, actual, ["user_id", "business_id"]).first().precision is None
+
+
+def _matrix_frame(spark, stars):
+    """(user_id, business_id, stars, ts) of a users x items matrix, zeros left out; made in Spark from its rows."""
+    users, items = stars.shape
+    rows = [(f"u{u:03}", stars[u].tolist()) for u in range(users)]
+    frame = spark.createDataFrame(rows, "user_id string, row array<double>")
+    frame = frame.select("user_id", F.posexplode("row").alias("item", "stars")).where("stars > 0")
+    frame = frame.select("user_id", F.format_string("b%06d", "item").alias("business_id"), "stars", F.lit(0).alias("ts"))
+    # One more user, so that no item is rated by everyone.
+    return frame.unionByName(spark.createDataFrame([("other", "lonely", 3.0, 0)], frame.schema))
+
+
+def _matrix_edges(stars, least, least_sim, step=500):
+    """(b1, b2) -> (similarity, co-raters), from products of the whole matrix."""
+    there, out = (stars > 0).astype(float), {}
+    for a in range(0, stars.shape[1], step):
+        one, here = stars[:, a : a + step], there[:, a : a + step]
+        n, s1, s2 = here.T @ there, one.T @ there, here.T @ stars
+        q1, q2, s12 = (one**2).T @ there, here.T @ stars**2, one.T @ stars
+        spread = np.sqrt(np.maximum(n * q1 - s1**2, 0)) * np.sqrt(np.maximum(n * q2 - s2**2, 0))
+        sim = np.divide(n * s12 - s1 * s2, spread, out=np.zeros_like(n), where=spread > 1e-9)
+        for i, j in zip(*np.nonzero((n >= least) & (sim >= least_sim))):
+            if a + i < j:
+                out[f"b{a + i:06}", f"b{j:06}"] = (round(float(sim[i, j]), 9), int(n[i, j]))
+    return out
+
+
+def test_fifty_users_of_twenty_thousand_items(spark):
+    """10^10 pairs of ratings: they leave the products as no more rows than there are similar pairs."""
+    draw = np.random.RandomState(5)
+    stars = draw.randint(1, 6, (50, 20_000)).astype(float)
+    stars[:, 1000:1010] = np.clip(stars[:, :1] + draw.randint(0, 2, (50, 10)), 1, 5)
+    before = len(tables_written(spark))
+    found = collaborative.item_similarity(_matrix_frame(spark, stars), 3, 0.62)
+    expected = _matrix_edges(stars, 3, 0.62)
+    assert len(expected) > 30 and _edges(found) == expected
+    made = [path for path in tables_written(spark)[before:] if "/block-products-" in path]
+    assert [spark.read.parquet(path).count() for path in made] == [len(expected)]
+
+
+@pytest.mark.parametrize("least_sim", [0.3, -2.0])
+def test_heavy_and_light_users_over_several_blocks(spark, monkeypatch, least_sim):
+    monkeypatch.setattr(products, "BLOCK", 16)
+    monkeypatch.setattr(products, "CHUNK", 64)
+    draw = np.random.RandomState(8)
+    stars = draw.randint(1, 11, (150, 120)) / 2 * (draw.rand(150, 120) < np.linspace(0.01, 0.6, 150)[:, None])
+    found = collaborative.item_similarity(_matrix_frame(spark, stars), 3, least_sim, heavy_user=10)
+    assert _edges(found) == _matrix_edges(stars, 3, least_sim)
+
+
+def test_blocks_without_enough_common_users_are_not_multiplied(spark, monkeypatch):
+    monkeypatch.setattr(products, "BLOCK", 8)
+    stars = np.zeros((40, 64))
+    for u in range(40):  # eight users a block of items, two of them in the next block too
+        block = u % 8
+        stars[u, block * 8 : block * 8 + 8] = np.random.RandomState(u).randint(1, 6, 8)
+        if u < 16:
+            stars[u, (block * 8 + 8) % 64 : (block * 8 + 8) % 64 + 8] = 1 + u % 5
+    # Codes go by raters, so that blocks hold the items above: all items have as many.
+    before = len(tables_written(spark))
+    found = collaborative.item_similarity(_matrix_frame(spark, stars), 3, 0.3, heavy_user=4)
+    assert _edges(found) == _matrix_edges(stars, 3, 0.3)
+    made = [path for path in tables_written(spark)[before:] if "/block-pairs-" in path]
+    assert spark.read.parquet(made[0]).count() == 8  # of 36
