@@ -6,15 +6,21 @@ same job; over everything there is one shard.
 While mining, items are numbers in ascending order of support and an itemset is the ascending array
 of them.  Candidates grow from a stem of the rarest items, so the most common items, which go with
 nearly everything, are never what a group of candidates has in common.
+
+From three items on, itemsets are counted by vertical bit maps: baskets are numbered, and an itemset has
+a row of ``WORDS`` longs for each range of baskets in which it occurs.  A candidate is its base and one more
+item, so its rows are those of the base, AND those of the item; its support is the bits left.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.operators.ranking import global_position
 from tallyweave.operators.skew import CELL_ROWS, pairs_in_groups
+from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
 HEAVY_BASKET = 2000  # items from which a basket may be set aside while pairs are formed
@@ -22,6 +28,11 @@ SET_ASIDE = 62  # baskets set aside per shard at most: one bit each of a long
 PAIR_BUCKETS = 30_000_000
 BUCKET_STEP = 1_000_003
 MAP_ROWS = 1_000_000  # rows of the bit map of frequent buckets up to which it may be broadcast
+WORDS = 16  # longs of a row of a bit map, where items are dense enough; else one
+# Share of the baskets that an item is in, on average, from which 64 baskets have a set of three: then
+# rows of WORDS are full enough to pay.
+DENSE = 1 / 4
+_WORD_BITS = 64
 
 _SET = ["shard", "items"]
 
@@ -81,14 +92,19 @@ def _set_aside(heavy: DataFrame, needs: DataFrame) -> DataFrame:
     return written(chosen.select("shard", "basket", (F.col("place") - 1).alias("bit")), "set-aside")
 
 
-def _light_pairs(kept: DataFrame, needs: DataFrame, heavy_basket: int):
+def _numbered(kept: DataFrame) -> DataFrame:
+    """(shard, basket, size, number): numbers without gaps within a partition, of one shard after another."""
+    sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
+    return written(sizes.sortWithinPartitions("shard").withColumn("number", F.monotonically_increasing_id()), "baskets-numbered")
+
+
+def _light_pairs(kept: DataFrame, sizes: DataFrame, needs: DataFrame, heavy_basket: int):
     """Pairs in the baskets not set aside, the limits they answer to, and what the others add.
 
     Limits are (shard, need, spare), spare being the number of baskets set aside.  The addition is a
     mask per item, (shard, item, mask), of the set-aside baskets that hold it, or None.
     """
-    sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
-    heavy = written(sizes.where(F.col("size") > heavy_basket), "heavy-baskets")
+    heavy = written(sizes.where(F.col("size") > heavy_basket).select("shard", "basket", "size"), "heavy-baskets")
     light, big, masks = kept, heavy, None
     limits = needs.withColumn("spare", F.lit(0))
     if not heavy.isEmpty():
@@ -108,17 +124,15 @@ def _light_pairs(kept: DataFrame, needs: DataFrame, heavy_basket: int):
     return pairs, F.broadcast(limits), masks  # limits: one row a shard
 
 
-def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets: int | None) -> DataFrame:
+def _pair_counts(
+    kept: DataFrame, sizes: DataFrame, needs: DataFrame, heavy_basket: int, buckets: int | None
+) -> DataFrame:
     """(shard, items, support) of the frequent pairs."""
-    pairs, limits, masks = _light_pairs(kept, needs, heavy_basket)
-    if buckets is not None:
-        pairs = _in_frequent_buckets(pairs, limits, buckets)
-    counts = (
-        pairs.groupBy("shard", "item_1", "item_2")
-        .agg(F.count(F.lit(1)).alias("support"))
-        .join(limits, "shard")
-        .where(F.col("support") + F.col("spare") >= F.col("need"))
-    )
+    pairs, limits, masks = _light_pairs(kept, sizes, needs, heavy_basket)
+    if buckets is None:
+        counts = _counted(pairs, limits)
+    else:
+        counts = _counted_in_buckets(pairs, limits, buckets)
     if masks is not None:
         for number in ("1", "2"):
             side = masks.toDF("shard", f"item_{number}", f"mask_{number}")
@@ -129,6 +143,16 @@ def _pair_counts(kept: DataFrame, needs: DataFrame, heavy_basket: int, buckets:
     return frequent.select("shard", F.array("item_1", "item_2").alias("items"), "support")
 
 
+def _counted(pairs: DataFrame, limits: DataFrame) -> DataFrame:
+    """(shard, item_1, item_2, support, need) of the pairs that set-aside baskets may make frequent."""
+    counts = pairs.groupBy("shard", "item_1", "item_2").agg(F.count(F.lit(1)).alias("support"))
+    return _within(counts, "support", limits)
+
+
+def _within(counts: DataFrame, count: str, limits: DataFrame) -> DataFrame:
+    return counts.join(limits, "shard").where(F.col(count) + F.col("spare") >= F.col("need")).drop("spare")
+
+
 def _bucket(buckets: int) -> Column:
     """The bucket of a pair of item codes; plain arithmetic, so that other engines can state it."""
     return F.pmod(F.col("item_1") * F.lit(BUCKET_STEP) + F.col("item_2"), F.lit(buckets)).cast("int")
@@ -139,19 +163,38 @@ def pair_buckets(pairs: DataFrame, buckets: int = PAIR_BUCKETS) -> DataFrame:
     return pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _in_frequent_buckets(pairs: DataFrame, limits: DataFrame, buckets: int) -> DataFrame:
-    """Pairs whose bucket could hold a frequent pair; a bucket never counts less than its pairs.
+def _counted_in_buckets(pairs: DataFrame, limits: DataFrame, buckets: int) -> DataFrame:
+    """As :func:`_counted`, through buckets, so that at most ``buckets`` rows a shard leave where pairs are formed.
 
-    The frequent buckets of a shard are a bit map, so pairs are tested where they are formed and before
-    any of them is shuffled.  The map is sent to all tasks only when it is counted to be small.
+    A bucket keeps its count, its least and its greatest pair, which merge like the count.  A bucket of one
+    pair has counted that pair.  Only for frequent buckets of several pairs, pairs are formed again
+    and those in other buckets dropped where they are formed.
     """
-    frequent = pair_buckets(pairs, buckets).join(limits, "shard").where(F.col("n") + F.col("spare") >= F.col("need"))
-    word, bit = F.floor(F.col("bucket") / 32).cast("int"), F.col("bucket") % 32
-    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-    maps = frequent.groupBy("shard", word.alias("word")).agg(F.bit_or(mark).alias("map"))
-    maps = written(maps, "frequent-buckets")
+    pair = F.struct("item_1", "item_2")
+    kept = pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(pair).alias("least"), F.max(pair).alias("most")
+    )
+    frequent = written(_within(kept, "n", limits), "frequent-buckets")
+    single = F.col("least") == F.col("most")
+    counts = frequent.where(single).select("shard", "least.*", F.col("n").alias("support"), "need")
+    several = written(_bucket_map(frequent.where(~single)), "shared-buckets")
+    if several.isEmpty():
+        return counts
+    return counts.unionByName(_counted(_in_buckets(pairs, several, buckets), limits))
+
+
+def _bucket_map(frequent: DataFrame) -> DataFrame:
+    """(shard, word, map): the buckets as bits."""
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bucket") % 32)
+    word = F.floor(F.col("bucket") / 32).cast("int")
+    return frequent.groupBy("shard", word.alias("word")).agg(F.bit_or(mark).alias("map"))
+
+
+def _in_buckets(pairs: DataFrame, maps: DataFrame, buckets: int) -> DataFrame:
+    """Pairs of the marked buckets, before any of them is shuffled if the map is counted to be small."""
     if maps.count() <= MAP_ROWS:
         maps = F.broadcast(maps)
+    word, bit = F.floor(F.col("bucket") / 32).cast("int"), F.col("bucket") % 32
     tested = pairs.withColumn("bucket", _bucket(buckets)).withColumn("word", word).join(maps, ["shard", "word"])
     return tested.where(F.call_function("shiftright", "map", bit).bitwiseAND(F.lit(1)) == 1).drop("bucket", "word", "map")
 
@@ -193,51 +236,57 @@ def next_candidates(level: DataFrame, size: int) -> DataFrame:
     return candidates
 
 
-def _given_candidates(itemsets: DataFrame, level: DataFrame, size: int) -> DataFrame:
-    """Given itemsets of ``size`` whose two parents are in ``level``, in the form of candidates."""
-    sides = itemsets.select(
-        "shard",
-        F.slice("items", 1, size - 2).alias("stem"),
-        F.col("items")[size - 2].alias("last_1"),
-        F.col("items")[size - 1].alias("last_2"),
-    )
-    parents = _split_last(level, size)
-    for number in ("1", "2"):
-        parent = parents.toDF("shard", "stem", f"last_{number}", f"support_{number}")
-        sides = sides.join(parent, ["shard", "stem", f"last_{number}"])
-    return _rarer_parent(sides)
-
-
-def _occurrences(occurring: DataFrame, candidates: DataFrame, kept: DataFrame) -> DataFrame:
-    """(shard, basket, items) of the candidates, from the baskets of their base.
-
-    The work is the support of the rarer parent.  The support says how many rows a base has, so a
-    popular base is dealt to cells on one side and its candidates repeated per cell on the other.
-    The second join looks (basket, extra) up and is not keyed by a basket alone.
-    """
-    cells = F.ceil(F.col("base_support") / CELL_ROWS).cast("int")
-    dealt = occurring.withColumn("cell", F.pmod(F.xxhash64("basket"), cells).cast("int")).drop("base_support")
-    repeated = candidates.withColumn("cell", F.explode(F.sequence(F.lit(0), cells - 1))).drop("base_support")
-    rows = kept.select("shard", "basket", F.col("item").alias("extra"))
-    return (
-        dealt.join(repeated, ["shard", "base", "cell"])
-        .join(rows, ["shard", "basket", "extra"], "left_semi")
-        .select("shard", "basket", "items")
-    )
-
-
-def _of_level(rows: DataFrame, level: DataFrame) -> DataFrame:
-    """Occurrences of the itemsets of a level, as bases of the next one."""
-    return rows.join(level.select(*_SET, "support"), _SET).select(
-        "shard", "basket", F.col("items").alias("base"), F.col("support").alias("base_support")
-    )
+class _Bitmaps:
+    """Bit maps over the numbered baskets of a mining run: rows (shard, items, range, w0, w1, ...)."""
+
+    def __init__(self, kept: DataFrame, numbered: DataFrame, items: int):
+        baskets = numbered.count()
+        dense = kept.count() >= DENSE * baskets * items
+        self.words = [f"w{i}" for i in range(WORDS if dense else 1)]
+        bits = _WORD_BITS * len(self.words)
+        # Ranges of a partition of numbers, the last of them perhaps not full.
+        self.ranges = -(-baskets // bits) + numbered.rdd.getNumPartitions()
+        place = F.col("number") % bits
+        word, bit = F.floor(place / _WORD_BITS), (place % _WORD_BITS).cast("int")
+        mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+        columns = [F.coalesce(F.bit_or(F.when(word == i, mark)), F.lit(0)).alias(w) for i, w in enumerate(self.words)]
+        rows = kept.join(numbered.select("shard", "basket", "number"), ["shard", "basket"])
+        rows = rows.groupBy("shard", "item", F.floor(F.col("number") / bits).alias("range")).agg(*columns)
+        self._items = written(rows, "item-bitmaps")
+
+    def singles(self) -> DataFrame:
+        return self._items.withColumn("items", F.array("item")).drop("item")
+
+    def grown(self, candidates: DataFrame, bases: DataFrame) -> DataFrame:
+        """Bit maps of the candidates, with ``n``, the baskets of each row, from those of their bases.
+
+        A base with very many rows is dealt to cells by range, its candidates repeated a cell.
+        """
+        cells = F.ceil(F.least("base_support", F.lit(self.ranges)) / CELL_ROWS).cast("int")
+        needed = candidates.select("shard", "base", cells.alias("cells")).distinct()
+        dealt = spread_small_scan(bases).withColumnRenamed("items", "base").join(needed, ["shard", "base"])
+        dealt = dealt.withColumn("cell", F.pmod("range", F.col("cells")).cast("int")).drop("cells")
+        repeated = candidates.withColumn("cell", F.explode(F.sequence(F.lit(0), cells - 1)))
+        rows = dealt.join(repeated, ["shard", "base", "cell"]).select("shard", "items", "extra", "range", *self.words)
+        extra = self._items.select("shard", F.col("item").alias("extra"), "range", *[F.col(w).alias(f"{w}_x") for w in self.words])
+        both = [F.col(w).bitwiseAND(F.col(f"{w}_x")).alias(w) for w in self.words]
+        rows = rows.join(extra, ["shard", "extra", "range"]).select("shard", "items", "range", *both)
+        n = reduce(Column.__add__, [F.bit_count(w) for w in self.words])
+        return rows.withColumn("n", n.cast("bigint")).where("n > 0")
+
+
+def _pairs_grown(pairs: DataFrame, singles: DataFrame) -> DataFrame:
+    """(shard, items, base, extra, base_support): pairs as candidates grown from their rarer item."""
+    support = singles.select("shard", F.col("items").alias("base"), F.col("support").alias("base_support"))
+    rows = pairs.select("shard", "items", F.slice("items", 1, 1).alias("base"), F.col("items")[1].alias("extra"))
+    return rows.join(support, ["shard", "base"])
 
 
 def _levels(
     baskets: DataFrame,
     needs: DataFrame,
     candidates_of: Callable[[DataFrame, int, DataFrame], DataFrame],
-    pair_level: Callable[[DataFrame], DataFrame] | None,
+    pair_level: Callable[[DataFrame, DataFrame], DataFrame] | None,
     max_size: int | None,
 ) -> DataFrame:
     """Frequent itemsets level by level; every level is a written table, so lineage stays short.
@@ -249,31 +298,28 @@ def _levels(
     kept = written(
         baskets.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item")), "kept-rows"
     )
+    numbered = _numbered(kept)
     singles = frequent_items.select("shard", F.array("code").alias("items"), "support")
-    single_rows = kept.select("shard", "basket", F.array("item").alias("items"))
 
     level, found, size = singles, singles, 1
-    # Baskets of the itemsets of ``level``, less those that no candidate grows from; None: not formed yet.
-    rows, formed = single_rows, None
+    bitmaps, rows = None, None  # rows: the bit maps of ``level`` and of candidates that did not make it
     while not level.isEmpty() and (max_size is None or size < max_size):
         size += 1
         if size == 2 and pair_level is not None:
-            level = written(pair_level(kept), "level-2")
-            rows, formed = None, (single_rows, singles, None)
+            level = written(pair_level(kept, numbered), "level-2")
         else:
             candidates = written(candidates_of(level, size, codes), f"candidates-{size}")
             if candidates.isEmpty():
                 break
-            if rows is None:
-                bases = candidates.select("shard", F.col("base").alias("items")).distinct()
-                parent_rows, parents, grown = formed
-                grown = _given_candidates(bases, singles, 2) if grown is None else grown.join(bases, _SET, "left_semi")
-                rows = written(_occurrences(_of_level(parent_rows, parents), grown, kept), f"bases-{size}")
-            # Counted where they are formed: no occurrence of a candidate is stored.
-            counts = _occurrences(_of_level(rows, level), candidates, kept).groupBy(*_SET)
-            counts = counts.agg(F.count(F.lit(1)).alias("support"))
+            if bitmaps is None:
+                bitmaps = _Bitmaps(kept, numbered, codes.count())
+                rows = bitmaps.singles()
+                if size == 3:
+                    bases = candidates.select("shard", F.col("base").alias("items")).distinct()
+                    rows = written(bitmaps.grown(_pairs_grown(bases, singles), rows), "bitmaps-2")
+            rows = written(bitmaps.grown(candidates, rows.drop("n")), f"bitmaps-{size}")
+            counts = rows.groupBy(*_SET).agg(F.sum("n").alias("support"))
             frequent = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
-            rows, formed = None, (rows, level, candidates)
             level = written(frequent.select("shard", "items", "support"), f"level-{size}")
         found = found.unionByName(level)
     return _decoded(found, codes)
@@ -297,7 +343,7 @@ def frequent_itemsets(
     rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
     needs = _need_overall(rows, support)
     found = _levels(
-        rows, needs, _grown, lambda kept: _pair_counts(kept, needs, heavy_basket, buckets), max_size
+        rows, needs, _grown, lambda kept, sizes: _pair_counts(kept, sizes, needs, heavy_basket, buckets), max_size
     )
     return found.drop("shard")
 
@@ -313,7 +359,7 @@ def sharded_candidates(
     rows = written(baskets.select("shard", "basket", "item"), "baskets")
     needs = written(shard_needs(rows, support), "needs")
     found = _levels(
-        rows, needs, _grown, lambda kept: _pair_counts(kept, needs, heavy_basket, buckets), max_size
+        rows, needs, _grown, lambda kept, sizes: _pair_counts(kept, sizes, needs, heavy_basket, buckets), max_size
     )
     return found.select("size", "items").distinct()
 
@@ -326,42 +372,38 @@ def bucket_counts(
     needs = written(shard_needs(rows, support), "needs")
     frequent_items, _ = _singles(rows, needs)
     kept = rows.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item"))
-    pairs, _, _ = _light_pairs(written(kept, "kept-rows"), needs, heavy_basket)
+    kept = written(kept, "kept-rows")
+    sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
+    pairs, _, _ = _light_pairs(kept, sizes, needs, heavy_basket)
     return pair_buckets(pairs, buckets)
 
 
 def count_candidates(baskets: DataFrame, candidates: DataFrame, support: int) -> DataFrame:
     """(size, items, support) of the candidates in at least ``support`` baskets overall.
 
-    Any list of itemsets will do.  The subsets a candidate is counted through, its rarest items with
-    one more, are added to the list and left out of the result; none of them is rarer than it.
+    Any list of itemsets will do.  A candidate grows from its rarest item by the next rarest; what candidates
+    begin with is counted once for all of them, and no candidate is in more baskets than its beginning.
     """
     rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
     items = F.array_sort(F.array_distinct("items"))
     given = candidates.select(F.lit(0).alias("shard"), items.alias("items")).where(F.size("items") > 0).distinct()
     given = written(given.withColumn("size", F.size("items")), "given-candidates")
     singles = given.select("shard", F.explode("items").alias("item")).distinct()
-    with_parents: list[DataFrame] = []
+    coded: list[DataFrame] = []
 
     def of_size(level: DataFrame, size: int, codes: DataFrame) -> DataFrame:
-        if not with_parents:
-            with_parents.append(written(_with_parents(_encoded(given, codes)), "candidates-with-parents"))
-        return _given_candidates(with_parents[0].where(F.size("items") == size), level, size)
+        if not coded:
+            coded.append(written(_encoded(given, codes), "coded-candidates"))
+        begun = coded[0].where(F.col("size") >= size).select("shard", F.slice("items", 1, size).alias("items")).distinct()
+        begun = begun.select("shard", "items", F.slice("items", 1, size - 1).alias("base"), F.col("items")[size - 1].alias("extra"))
+        known = level.select("shard", F.col("items").alias("base"), F.col("support").alias("base_support"))
+        return begun.join(known, ["shard", "base"])
 
     wanted = rows.join(singles, ["shard", "item"], "left_semi")
     found = _levels(wanted, _need_overall(rows, support), of_size, None, None)
     return found.join(given.select("shard", "items"), _SET, "left_semi").select("size", "items", "support")
 
 
-def _with_parents(coded: DataFrame) -> DataFrame:
-    """(shard, items): the itemsets, and each beginning of one with one of its later items."""
-    n = F.size("items")
-    beginnings = coded.where(n > 1).select("shard", "items", F.explode(F.sequence(F.lit(1), n - 1)).alias("begun"))
-    each = beginnings.select("*", F.explode(F.sequence(F.col("begun") + 1, n)).alias("place"))
-    grown = F.concat(F.slice("items", F.lit(1), F.col("begun")), F.array(F.element_at("items", F.col("place"))))
-    return each.select("shard", grown.alias("items")).distinct()
-
-
 def _need_overall(rows: DataFrame, support: int) -> DataFrame:
     return rows.sparkSession.createDataFrame([(0, support)], "shard int, need bigint")
 

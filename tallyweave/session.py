@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Compressed files are larger in memory; the planner should not broadcast one by its file size.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # A few megabytes are work for all cores, in a scan as in a shuffle.
+    "spark.sql.files.openCostInBytes": "256k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators import baskets as bk
 from tallyweave.operators import itemsets
 from tallyweave.plans.itemset_report import itemset_report
+from tallyweave.storage import tables_written
 
 
 def _baskets(seed, n=60, items=12, heavy=0):
@@ -132,3 +133,40 @@ def test_all_buckets_frequent_or_none(spark):
     made = _baskets(7)
     for buckets in (1, 31, 32, 33, 10_000):
         assert _found(itemsets.frequent_itemsets(_frame(spark, made), 5, buckets=buckets)) == _brute(made, 5)
+
+
+@pytest.mark.parametrize("words, dense", [(1, 1.0), (4, 0.0), (16, 0.0)])
+def test_bitmap_rows_of_any_width(spark, monkeypatch, words, dense):
+    """Several ranges and cells, and baskets far from filling the last range."""
+    monkeypatch.setattr(itemsets, "WORDS", words)
+    monkeypatch.setattr(itemsets, "DENSE", dense)
+    monkeypatch.setattr(itemsets, "CELL_ROWS", 2)
+    made = _baskets(21, n=700, items=9, heavy=40)
+    expected = _brute(made, 30)
+    assert _found(itemsets.frequent_itemsets(_frame(spark, made), 30)) == expected
+    given = spark.createDataFrame([(list(items),) for items in expected] + [(["1", "x"],), (["9", "1", "1"],)], "items array<string>")
+    counted = _found(itemsets.count_candidates(_frame(spark, made), given, 30))
+    assert counted == expected
+
+
+def test_a_level_costs_words(spark, monkeypatch):
+    """Baskets that all hold the same items: rows of the levels do not follow the number of baskets."""
+    monkeypatch.setattr(itemsets, "DENSE", 0.0)
+    before = len(tables_written(spark))
+    frame = spark.range(3000).select(F.col("id").cast("int").alias("basket"), F.explode(F.array(*map(F.lit, "abcde"))).alias("item"))
+    found = _found(itemsets.frequent_itemsets(frame, 3000))
+    assert len(found) == 31 and set(found.values()) == {3000}
+    made = [path for path in tables_written(spark)[before:] if "/bitmaps-" in path]
+    rows = [spark.read.parquet(path).count() for path in made]
+    assert len(made) == 4 and max(rows) <= 10 * (3000 // (64 * itemsets.WORDS) + 1 + 8)
+
+
+@pytest.mark.parametrize("buckets, formed", [(itemsets.PAIR_BUCKETS, 1), (3, 2)])
+def test_pairs_are_formed_once_where_no_bucket_is_shared(spark, monkeypatch, buckets, formed):
+    calls = []
+    counted = itemsets._counted
+    monkeypatch.setattr(itemsets, "_counted", lambda *args: calls.append(1) or counted(*args))
+    made = _baskets(6, n=80, heavy=4)
+    found = itemsets.frequent_itemsets(_frame(spark, made), 6, buckets=buckets, heavy_basket=5)
+    assert _found(found) == _brute(made, 6)
+    assert 1 + len(calls) == formed
