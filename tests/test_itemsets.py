@@ -135,15 +135,15 @@ def test_all_buckets_frequent_or_none(spark):
         assert _found(itemsets.frequent_itemsets(_frame(spark, made), 5, buckets=buckets)) == _brute(made, 5)
 
 
-@pytest.mark.parametrize("words, dense", [(1, 1.0), (4, 0.0), (16, 0.0)])
+@pytest.mark.parametrize("words, dense", [(1, 1.0), (4, 0.0)])
 def test_bitmap_rows_of_any_width(spark, monkeypatch, words, dense):
     """Several ranges and cells, and baskets far from filling the last range."""
     monkeypatch.setattr(itemsets, "WORDS", words)
     monkeypatch.setattr(itemsets, "DENSE", dense)
     monkeypatch.setattr(itemsets, "CELL_ROWS", 2)
-    made = _baskets(21, n=700, items=9, heavy=40)
-    expected = _brute(made, 30)
-    assert _found(itemsets.frequent_itemsets(_frame(spark, made), 30)) == expected
+    made = _baskets(21, n=700, items=7, heavy=40)
+    expected = {items: n for items, n in _brute(made, 30).items() if len(items) < 5}
+    assert _found(itemsets.frequent_itemsets(_frame(spark, made), 30, max_size=4)) == expected
     given = spark.createDataFrame([(list(items),) for items in expected] + [(["1", "x"],), (["9", "1", "1"],)], "items array<string>")
     counted = _found(itemsets.count_candidates(_frame(spark, made), given, 30))
     assert counted == expected
