@@ -2,9 +2,9 @@
 
 Lines are ordered by doc_id, then by their place in the document.  An edit inserts, deletes or replaces
 one code point.  Two least lengths in code points: ``least_chars`` for the match within one edit, and
-``exact_chars`` for equal lines, below ``least_chars`` only of lines that are not blank.  ``dedup_lines``
-removes equal lines of every length; ``removed_lines``, and with it op3 and its SQL twin, takes
-``LEAST_CHARS`` for both unless told otherwise.
+``exact_chars`` for equal lines, below ``least_chars`` only of lines that are not blank.  ``dedup_lines``,
+op3 and its SQL twin remove equal lines of every length; ``removed_lines`` takes ``LEAST_CHARS`` for both
+unless told otherwise.
 
 1. Equal lines, by 128 bits of hash, become one row with their first place; map-side, so a line that
    a third of the documents share is a few rows.
@@ -157,7 +157,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, exact_chars: in
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return removed_lines(spread_small_scan(docs))
+    return removed_lines(spread_small_scan(docs), exact_chars=EVERY_LENGTH)
 
 
 SQL = r"""
@@ -167,13 +167,13 @@ WITH docs AS (
 ), lines AS (
   SELECT doc_id, copy, line_no, line, length(line) AS n
   FROM (SELECT doc_id, copy, unnest(l) AS line, unnest(generate_series(0, len(l) - 1)) AS line_no FROM docs)
-  WHERE length(line) >= 20
+  WHERE length(line) >= 20 OR regexp_matches(line, '[^\x20\x09-\x0D]')
 ), firsts AS (
   SELECT line, any_value(n) AS n, min((doc_id, copy, line_no)) AS first, string_split(line, '') AS c FROM lines GROUP BY line
 ), halves AS (  -- one edit leaves one half alone
-  SELECT line, first, n, c, k, 1 AS side, left(line, k // 2) AS half FROM firsts, unnest([n, n - 1]) AS t(k)
+  SELECT line, first, n, c, k, 1 AS side, left(line, k // 2) AS half FROM firsts, unnest([n, n - 1]) AS t(k) WHERE n >= 20
   UNION ALL
-  SELECT line, first, n, c, k, 2, right(line, k - k // 2) FROM firsts, unnest([n, n - 1]) AS t(k)
+  SELECT line, first, n, c, k, 2, right(line, k - k // 2) FROM firsts, unnest([n, n - 1]) AS t(k) WHERE n >= 20
 ), pairs AS (
   SELECT a.line, a.c AS x, b.c AS y, a.n AS n, b.n AS m,
          coalesce(list_position(list_transform(generate_series(1, least(a.n, b.n)), lambda i: a.c[i] = b.c[i]), false),
