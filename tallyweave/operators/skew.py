@@ -92,19 +92,14 @@ def spread_join(
     """Inner equi-join in which both sides may hold many rows of the same key.
 
     Rows of a key with more than ``cell_rows`` rows on the left are dealt to cells by a hash of the
-    whole row, and the right side repeats that key once a cell.  Other keys join as they are.
+    whole row, and the right side repeats that key once a cell.  Other keys join as they are, so a
+    right side clustered by ``keys`` moves the rows of such keys only.
     """
     big = written(big_groups(left, keys, cell_rows), "big-keys")
     if big.isEmpty():
         return left.join(right, list(keys))
     keys = list(keys)
-    one = F.coalesce("cells", F.lit(1))
-    dealt = (
-        left.join(big, keys, "left")
-        .withColumn("cell", F.pmod(F.xxhash64(*left.columns), one).cast("int"))
-        .drop("cells")
-    )
-    repeated = (
-        right.join(big, keys, "left").withColumn("cell", F.explode(F.sequence(F.lit(0), one - 1))).drop("cells")
-    )
-    return dealt.join(repeated, [*keys, "cell"]).drop("cell")
+    dealt = left.join(big, keys).withColumn("cell", F.pmod(F.xxhash64(*left.columns), "cells").cast("int"))
+    repeated = right.join(big, keys).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    spread = dealt.drop("cells").join(repeated.drop("cells"), [*keys, "cell"]).drop("cell")
+    return left.join(big, keys, "left_anti").join(right, keys).unionByName(spread)

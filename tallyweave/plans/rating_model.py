@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.operators import pearson, products
+from tallyweave.operators import neighbours, pearson, products
 from tallyweave.operators.skew import CELL_ROWS
 from tallyweave.sources.model_tables import BUCKETS, read_clustered, write_clustered
 from tallyweave.storage import new_path, written
@@ -173,3 +173,32 @@ def edges(model: RatingModel, least_co_rated: int = 3, least_sim: float = 0.3) -
     else:
         found = pearson.zero_constant(pearson.pearson(moments), constant)
     return found.where(F.col("sim") >= least_sim).select("b1", "b2", "sim", "num_co_rated")
+
+
+@dataclass(frozen=True)
+class NeighbourModel:
+    """Neighbour lists (target, other, sim, num_co_rated), once clustered by target and once by both ends."""
+
+    by_target: DataFrame
+    by_pair: DataFrame
+
+    def predict(self, pairs: DataFrame, latest: DataFrame, n: int = 3) -> DataFrame:
+        """(user_id, business_id, stars) for every row of ``pairs``, from one rating a user and business.
+
+        The lists stay where they are: pairs and ratings move to them, and only the lists of targets
+        asked for by very many pairs are repeated.
+        """
+        return neighbours.predict_listed(pairs, self.by_target, latest, n, self.by_pair)
+
+
+def save_neighbours(found: DataFrame, path: str, buckets: int = BUCKETS) -> NeighbourModel:
+    """The edges ``found`` as neighbour lists under ``path``."""
+    lists = written(neighbours.both_ways(found), "neighbour-lists")
+    return NeighbourModel(
+        write_clustered(lists, f"{path}/by-target", ["target"], buckets),
+        write_clustered(lists, f"{path}/by-pair", ["target", "other"], buckets),
+    )
+
+
+def load_neighbours(spark: SparkSession, path: str) -> NeighbourModel:
+    return NeighbourModel(read_clustered(spark, f"{path}/by-target"), read_clustered(spark, f"{path}/by-pair"))

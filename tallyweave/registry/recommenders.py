@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.text import DELETED_MARKS
 from tallyweave.operators import evaluation, neighbours, pearson, profiles, tfidf
-from tallyweave.plans import collaborative, content
+from tallyweave.plans import collaborative, content, rating_model
 from tallyweave.registry import sql_views as sql
 from tallyweave.registry.exploration import stopwords
 from tallyweave.sources import readers, stand_ins, writers
@@ -198,6 +198,30 @@ def predictions_file(spark, folder):
     return spark.read.schema("user_id bigint, business_id bigint, stars double").json(path)
 
 
+def _refreshed_model(spark, folder):
+    """The model of two thirds of the order lines, saved, read back, and the last third added."""
+    path = new_path(spark, "rating-model")
+    ratings = _ratings(spark, folder)
+    late = F.col("l_orderkey") % 3 == 0
+    rating_model.build(ratings.where(~late), f"{path}/first")
+    return rating_model.refresh(rating_model.load(spark, f"{path}/first"), ratings.where(late), f"{path}/second")
+
+
+def item_pearson_refreshed(spark, folder):
+    return rating_model.edges(_refreshed_model(spark, folder), CO_RATED, LEAST_SIM).withColumn("sim", F.round("sim", 6))
+
+
+def rating_predictions_clustered(spark, folder):
+    """The predictions from the refreshed model's neighbour lists, stored clustered and read back."""
+    path = new_path(spark, "neighbour-model")
+    model = _refreshed_model(spark, folder)
+    rating_model.save_neighbours(rating_model.edges(model, CO_RATED, LEAST_SIM), path)
+    latest = written(model.cells.toDF("user_id", "business_id", "ts", "stars"), "latest-ratings")
+    pairs = _ratings(spark, folder).select("user_id", "business_id")
+    predicted = rating_model.load_neighbours(spark, path).predict(pairs, latest, NEIGHBOURS)
+    return predicted.withColumn("stars", F.round("stars", 6))
+
+
 def rating_rmse(spark, folder):
     latest = written(_latest(spark, folder), "latest")
     predictions = _predictions(spark, folder, latest.select("user_id", "business_id"))
@@ -226,6 +250,8 @@ QUERIES = {
     "neighbour_lists": neighbour_lists,
     "edges_roundtrip": edges_roundtrip,
     "rating_predictions": rating_predictions,
+    "item_pearson_refreshed": item_pearson_refreshed,
+    "rating_predictions_clustered": rating_predictions_clustered,
     "rating_rmse": rating_rmse,
 }
 
@@ -330,6 +356,7 @@ UNION ALL SELECT 'user', 'u' || id, CAST(n AS INTEGER) FROM users""",
     "item_iuf": f"{_RATINGS} SELECT business_id, users, round(iuf, 6) AS iuf FROM iuf",
     "item_pair_moments": f"{_EDGES} SELECT b1, b2, n, s1, s2, q1, q2, s12 FROM moments",
     "item_pearson": f"{_EDGES} SELECT {_EDGE_COLUMNS} FROM edges",
+    "item_pearson_refreshed": f"{_EDGES} SELECT {_EDGE_COLUMNS} FROM edges",
     "raw_duplicate_pairs": f"""{_REPEATS}, moments AS (SELECT b1, b2, {_SUMS} FROM meetings
   GROUP BY b1, b2 HAVING count(*) >= {CO_RATED})
 SELECT {_EDGE_COLUMNS} FROM ({_SIM} FROM moments) WHERE sim >= {LEAST_SIM}
@@ -338,6 +365,8 @@ SELECT {_EDGE_COLUMNS} FROM ({_SIM} FROM moments) WHERE sim >= {LEAST_SIM}
     "neighbour_lists": f"{_EDGES} SELECT target, other, round(sim, 6) AS sim, num_co_rated FROM lists",
     "edges_roundtrip": f"{_EDGES} SELECT {_EDGE_COLUMNS} FROM edges",
     "rating_predictions": f"""{_EDGES} SELECT user_id, business_id, round(p.stars, 6) AS stars
+FROM ratings JOIN predicted p USING (user_id, business_id)""",
+    "rating_predictions_clustered": f"""{_EDGES} SELECT user_id, business_id, round(p.stars, 6) AS stars
 FROM ratings JOIN predicted p USING (user_id, business_id)""",
     "rating_rmse": f"""{_EDGES} SELECT count(*) AS pairs, round(sqrt(avg((p.stars - l.stars) * (p.stars - l.stars))), 6) AS rmse
 FROM predicted p JOIN latest l USING (user_id, business_id)""",

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyweave.operators import neighbours, pearson, skew
 from tallyweave.plans import collaborative, rating_model
 from tallyweave.sources.model_tables import read_clustered, write_clustered
 
@@ -113,3 +114,39 @@ def test_clustered_tables(spark, tmp_path):
     assert "Exchange" not in _plan(counted)
     empty = write_clustered(frame.where("false"), str(tmp_path / "none"), ["k"], 3)
     assert empty.count() == 0 and read_clustered(spark, str(tmp_path / "none")).columns == frame.columns
+
+
+def test_lists_stay_where_they_are(spark, no_broadcast, tmp_path):
+    ratings = spark.createDataFrame(_rows(4), RATING)
+    found = collaborative.item_similarity(ratings, 3, -2.0)
+    model = rating_model.save_neighbours(found, str(tmp_path / "lists"), 4)
+    model = rating_model.load_neighbours(spark, str(tmp_path / "lists"))
+    latest = pearson.latest_ratings(ratings)
+    pairs = ratings.select("user_id", "business_id")
+    predicted = model.predict(pairs, latest)
+    assert _table(predicted) == _table(neighbours.predict(pairs, found, latest))
+    for lists in (model.by_target, model.by_pair):
+        name = next(line for line in _plan(lists).splitlines() if "FileScan" in line).split("tallyweave_")[1][:24]
+        lines = _plan(predicted).splitlines()
+        places = [i for i, line in enumerate(lines) if name in line and "FileScan" in line]
+        assert places
+        for place in places:
+            # Up from the scan to the join or aggregate that reads it.
+            above = []
+            depth = lines[place].index("FileScan")
+            for line in reversed(lines[:place]):
+                at = len(line) - len(line.lstrip(" :+-"))
+                if at < depth:
+                    above.append(line)
+                    depth = at
+                    if "Join" in line or "Aggregate" in line:
+                        break
+            assert not any("Exchange" in line for line in above)
+
+
+def test_a_hot_key_moves_alone(spark, no_broadcast, tmp_path):
+    left = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(300)], "k int, a int")
+    right = spark.createDataFrame([(i, i * 7) for i in range(300)], "k int, b int")
+    stored = write_clustered(right, str(tmp_path / "right"), ["k"], 4)
+    joined = skew.spread_join(left, stored, ["k"], cell_rows=20)
+    assert _table(joined.select("k", "a", "b")) == _table(left.join(right, "k").select("k", "a", "b"))
