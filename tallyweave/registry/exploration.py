@@ -165,6 +165,40 @@ def business_json_scan(spark, folder):
     return readers.read_businesses(spark, path).groupBy("state").agg(F.count(F.lit(1)).alias("businesses"))
 
 
+def _review_lines_with_faults(spark, folder):
+    """Reviews as JSON lines of which some are cut off, some no object and some hold a text for the stars."""
+    path = new_path(spark, "reviews-with-faults")
+    reviews = stand_ins.review_events(spark, folder).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    number, fault = F.col("review_id").cast("string"), F.col("review_id") % 11
+    line = (
+        F.when(fault == 0, F.concat(F.lit('{"review_id":"'), number, F.lit('","stars":')))
+        .when(fault == 1, F.concat(F.lit('{"review_id":"'), number, F.lit('","stars":"many"}')))
+        .when(fault == 2, F.concat(F.lit("["), number, F.lit("]")))
+        .when(fault == 3, F.lit(" "))
+        .otherwise(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in ("review_id", "business_id", "date")])))
+    )
+    reviews.select(line.alias("value")).write.text(path)
+    return path
+
+
+def review_json_quarantine(spark, folder):
+    """Readable reviews by year, and every line that is not one."""
+    bad = new_path(spark, "bad-reviews")
+    reviews = readers.read_reviews(spark, _review_lines_with_faults(spark, folder), quarantine=bad)
+    years = reviews.groupBy(year_text(reviews).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    lines = readers.read_quarantine(spark, bad).groupBy(F.col("line").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return years.select(F.lit("year").alias("kind"), "label", "n").unionByName(
+        lines.select(F.lit("bad line").alias("kind"), "label", "n")
+    )
+
+
+def count_year_not_readable(spark, folder):
+    """Reviews of another year among the readable ones; a bad line is of no year."""
+    bad = new_path(spark, "bad-reviews")
+    reviews = readers.read_reviews(spark, _review_lines_with_faults(spark, folder), quarantine=bad)
+    return exploration.count_other_years(reviews, YEAR)
+
+
 QUERIES = {
     "avg_stars": avg_stars,
     "count_year_not": count_year_not,
@@ -186,6 +220,8 @@ QUERIES = {
     "stopwords_verbatim": stopwords_verbatim,
     "review_json_scan": review_json_scan,
     "business_json_scan": business_json_scan,
+    "review_json_quarantine": review_json_quarantine,
+    "count_year_not_readable": count_year_not_readable,
 }
 
 _WORDS = f"""reviews AS ({sql.REVIEWS}),
@@ -252,6 +288,13 @@ FROM (SELECT state, count(*) AS reviews FROM orders o JOIN ({sql.BUSINESSES}) b
     "stopwords_normalised": f"SELECT DISTINCT lower(trim(state)) AS word FROM ({sql.BUSINESSES}) WHERE state IS NOT NULL",
     "stopwords_verbatim": f"""SELECT DISTINCT chr(160) || ' ' || state || chr(9) AS word
 FROM ({sql.BUSINESSES}) WHERE state IS NOT NULL""",
+    "review_json_quarantine": """SELECT 'year' AS kind, strftime(o_orderdate, '%Y') AS label, count(*) AS n
+FROM orders WHERE o_orderkey % 11 > 3 GROUP BY ALL
+UNION ALL SELECT 'bad line', CASE o_orderkey % 11 WHEN 0 THEN '{"review_id":"' || o_orderkey || '","stars":'
+  WHEN 1 THEN '{"review_id":"' || o_orderkey || '","stars":"many"}' ELSE '[' || o_orderkey || ']' END, count(*)
+FROM orders WHERE o_orderkey % 11 < 3 GROUP BY ALL""",
+    "count_year_not_readable": f"""SELECT count(*) AS reviews FROM orders
+WHERE o_orderkey % 11 > 3 AND year(o_orderdate) <> {YEAR}""",
     "review_json_scan": f"""SELECT strftime(date, '%Y') AS year, strftime(date, '%m') AS month, count(*) AS reviews,
   sum(stars) AS stars, CAST(sum(length(text)) AS BIGINT) AS characters, count(DISTINCT business_id) AS businesses
 FROM ({sql.REVIEWS}) GROUP BY 1, 2""",

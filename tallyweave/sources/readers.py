@@ -1,20 +1,60 @@
 """Readers for the review, business, basket, stopword and model files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyweave.functions.text import WHITE_SPACE
+from tallyweave.functions.text import NOT_WHITE_SPACE, WHITE_SPACE
 from tallyweave.sources import schemas
 
 
-def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Review records, one JSON object a line; unreadable lines give null fields."""
-    return spark.read.schema(schemas.REVIEW).json(path)
+_UNREADABLE = "_unreadable"
 
 
-def read_businesses(spark: SparkSession, path: str) -> DataFrame:
+def split_json_lines(spark: SparkSession, path: str, layout: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(records, bad lines) of a file of JSON objects, one a line.
+
+    A bad line (file, line) is no JSON, no object, more than one value, or has a value that its field
+    cannot hold; it gives no record.  An object without a field, or with more, is a record; a blank line is neither.  Both results
+    read the file when used.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    lines = lines.where(F.col("line").rlike(NOT_WHITE_SPACE))
+    marked = T.StructType([*layout.fields, T.StructField(_UNREADABLE, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE, "allowSingleQuotes": "false"}
+    record = F.from_json("line", marked, options)
+
+    def values(behind: str) -> Column:
+        return F.json_array_length(F.concat(F.lit("["), "line", F.lit(behind)))
+
+    # The parser stops behind the first object.  A line that closes the array itself has one count in both.
+    one_object = F.col("line").rlike(r"^\s*\{") & (values("]") == 1) & (values(",0]") == 2)
+    parsed = lines.select("file", "line", record.alias("record"), F.coalesce(one_object, F.lit(False)).alias("one_object"))
+    bad = ~F.col("one_object") | F.col("record").isNull() | F.col(f"record.{_UNREADABLE}").isNotNull()
+    records = parsed.where(~bad).select(*[F.col(f"record.{name}").alias(name) for name in layout.names])
+    return records, parsed.where(bad).select("file", "line")
+
+
+def _read_json(spark: SparkSession, path: str, layout: T.StructType, quarantine: str | None) -> DataFrame:
+    if quarantine is None:
+        return spark.read.schema(layout).json(path)
+    records, bad = split_json_lines(spark, path, layout)
+    bad.write.json(quarantine)
+    return records
+
+
+def read_reviews(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
+    """Review records, one JSON object a line.
+
+    Unreadable lines give null fields.  With a folder for ``quarantine`` they give no record and are
+    written there as JSON lines of file and line, as with the other JSON readers.
+    """
+    return _read_json(spark, path, schemas.REVIEW, quarantine)
+
+
+def read_businesses(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Business records with their state, one JSON object a line."""
-    return spark.read.schema(schemas.BUSINESS).json(path)
+    return _read_json(spark, path, schemas.BUSINESS, quarantine)
 
 
 def read_year_baskets(spark: SparkSession, path: str) -> DataFrame:
@@ -41,14 +81,19 @@ def read_stopwords(spark: SparkSession, path: str, normalise: bool) -> DataFrame
     return spark.read.text(path).select(word.alias("word")).distinct()
 
 
-def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+def read_pairs(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """User-business pairs to score, one JSON object a line; repeated lines are kept."""
-    return spark.read.schema(schemas.USER_BUSINESS).json(path)
+    return _read_json(spark, path, schemas.USER_BUSINESS, quarantine)
 
 
-def read_item_edges(spark: SparkSession, path: str) -> DataFrame:
+def read_item_edges(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Item similarity model stored as JSON lines."""
-    return spark.read.schema(schemas.ITEM_EDGE).json(path)
+    return _read_json(spark, path, schemas.ITEM_EDGE, quarantine)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The (file, line) rows that a reader set apart."""
+    return spark.read.schema("file string, line string").json(path)
 
 
 def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -170,3 +170,36 @@ def test_state_and_partition_files(spark, tmp_path):
     assert json.loads(spark.read.text(str(tmp_path / "parts")).first()[0]) == {
         "n_partitions": 3, "n_items": [2, 0, 2], "result": [["2015", 1], ["2016", 2], ["2018", 1]]
     }
+
+
+def test_bad_lines_are_set_apart(spark, tmp_path):
+    good = [
+        '{"review_id": "1", "user_id": "u", "stars": 4, "date": "2015-01-01"}',
+        '  {"review_id": "2", "other": [1, {"a": 2}]}',
+        "{}",
+        '{"review_id": null, "stars": 2.5}',
+        '{"text": "' + "long " * 200_000 + '"}',
+    ]
+    bad = ["not json", '{"review_id": "3"', "[1, 2]", '"text"', "17", "null", '{"stars": "many"}', '{"review_id": "4"} x {', "[{}]", '{"stars": 1}{"stars": 2}', "{},{}", "{}]", "{},0] ", "{},{}] }", "{'stars': 1}"]
+    (tmp_path / "r.json").write_text("\n".join([*good, "", " \t", *bad, bad[0]]) + "\n")
+    path = str(tmp_path / "r.json")
+    reviews = readers.read_reviews(spark, path, quarantine=str(tmp_path / "bad"))
+    assert [(r.review_id, r.stars) for r in reviews.collect()] == [("1", 4.0), ("2", None), (None, None), (None, 2.5), (None, None)]
+    assert reviews.columns == readers.read_reviews(spark, path).columns
+    apart = readers.read_quarantine(spark, str(tmp_path / "bad")).collect()
+    assert sorted(r.line for r in apart) == sorted([*bad, bad[0]])
+    assert {r.file.rsplit("/", 1)[1] for r in apart} == {"r.json"}
+
+
+@pytest.mark.parametrize("reader", [readers.read_businesses, readers.read_pairs, readers.read_item_edges])
+def test_other_readers_set_bad_lines_apart(spark, tmp_path, reader):
+    (tmp_path / "r.json").write_text('{"business_id": "b", "b1": "x"}\n{"business_id"\n')
+    rows = reader(spark, str(tmp_path / "r.json"), quarantine=str(tmp_path / "bad"))
+    assert rows.count() == 1
+    assert readers.read_quarantine(spark, str(tmp_path / "bad")).first().line == '{"business_id"'
+
+
+def test_a_file_without_lines(spark, tmp_path):
+    (tmp_path / "r.json").write_text("")
+    assert readers.read_reviews(spark, str(tmp_path / "r.json"), quarantine=str(tmp_path / "bad")).count() == 0
+    assert readers.read_quarantine(spark, str(tmp_path / "bad")).count() == 0
