@@ -126,7 +126,7 @@ def test_lists_stay_where_they_are(spark, no_broadcast, tmp_path):
     predicted = model.predict(pairs, latest)
     assert _table(predicted) == _table(neighbours.predict(pairs, found, latest))
     for lists in (model.by_target, model.by_pair):
-        name = next(line for line in _plan(lists).splitlines() if "FileScan" in line).split("tallyweave_")[1][:24]
+        name = next(line for line in _plan(lists).splitlines() if "FileScan" in line).split("tallyweave_")[1][:32]
         lines = _plan(predicted).splitlines()
         places = [i for i, line in enumerate(lines) if name in line and "FileScan" in line]
         assert places
