@@ -13,13 +13,15 @@ unless told otherwise.
 3. The other lines emit their deletion neighbourhood: each line without one code point, hashed.  Two
    lines of one length are within one edit when they agree after deleting the same place; a line is
    within one edit of a shorter one when one of its deletions is that line.  So a group of equal variants
-   needs only its earliest line, never pairs of its members.
-4. Every pair found is verified by the edit distance of the texts.
+   needs only its earliest line, never pairs of its members.  A line's hash is the exclusive or of a hash
+   of each place and its code point; a deletion keeps what stands before the place and moves what stands
+   behind it by one, so all variants of a line come from two running values, in time linear in its length.
+4. Every pair found is verified on the texts: they are equal once the place found is deleted.
 
 Defined cases: a null text has no lines, an empty one has one line that stays; equal documents lose their
 lines to the first of them; rows of one doc_id are ordered by a hash of their text; an empty table gives
-an empty result.  The variants of a line take the square of its length in time, and only lines that share
-a half with another have them.
+an empty result; a very long line has as many variants as code points, and only a line that shares a half
+with another has them.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +33,7 @@ from tallyweave.storage import forget, written
 
 LEAST_CHARS = 20
 EVERY_LENGTH = 1
-EDITS = 1
+_PIECE = 256  # code points hashed as one array; a longer line is several of them
 _MARK = r"[^\x09-\x0D\x20]"  # a line or text with none is blank
 _PLACE = ("doc_id", "copy", "line_no")
 
@@ -57,6 +59,51 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.array(*halves(n), *halves(n - 1))
 
 
+def _variants(near: DataFrame) -> DataFrame:
+    """One row for each place deleted (``at`` from 0) with the hash of what is left; ``at`` = n is the whole line.
+
+    With a(j) = hash(j, c) and b(j) = hash(j - 1, c), the line without place i hashes to the exclusive or of
+    a(0..i-1) and b(i+1..n-1).  Pieces hold b(i) and all a and b before i; the rest of the line's b is added last.
+    """
+
+    def marks(piece: Column, k: Column) -> Column:
+        def mark(c: Column, j: Column) -> Column:
+            return F.struct(F.xxhash64(k * _PIECE + j, c).alias("a"), F.xxhash64(k * _PIECE + j - 1, c).alias("b"))
+
+        return F.transform(F.split(piece, ""), mark)
+
+    zero = F.lit(0).cast("bigint")
+
+    def place(acc: Column, x: Column) -> Column:
+        v = F.concat(acc.v, F.array(acc.ab.bitwiseXOR(x.b)))
+        return F.struct(v.alias("v"), acc.ab.bitwiseXOR(x.a).bitwiseXOR(x.b).alias("ab"), acc.b.bitwiseXOR(x.b).alias("b"))
+
+    def piece(text: Column, k: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("v"), zero.alias("ab"), zero.alias("b"))
+        return F.aggregate(marks(text, k), start, place)
+
+    def carry(acc: Column, x: Column) -> Column:  # numbers only: an accumulator is copied at every step
+        return F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x)))
+
+    pieces = F.regexp_extract_all("line", F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    line = near.select("h1", "h2", "first", "n", F.transform(pieces, piece).alias("pieces"))
+    ends = F.array(F.struct(F.array(zero).alias("v"), zero.alias("ab"), zero.alias("b")))
+    rest = F.aggregate("pieces.b", zero, lambda acc, x: acc.bitwiseXOR(x)).alias("b")
+    carried = F.aggregate("pieces.ab", F.array(zero), carry).alias("carried")
+    line = line.select("h1", "h2", "first", "n", rest, F.arrays_zip(F.concat("pieces", ends).alias("piece"), carried).alias("out"))
+    parts = line.select("h1", "h2", "first", "n", "b", F.posexplode_outer("out").alias("k", "part"))
+    last = F.ceil(F.col("n") / _PIECE) == F.col("k")
+    begin = F.when(last, F.col("n")).otherwise(F.col("k") * _PIECE)
+    parts = parts.select("h1", "h2", "first", "n", begin.alias("begin"), F.col("part.carried").bitwiseXOR(F.col("b")).alias("rest"), "part.piece.v")
+    each = parts.select("h1", "h2", "first", "n", "begin", "rest", F.posexplode_outer("v").alias("j", "mark"))
+    at, variant = F.col("begin") + F.col("j"), F.col("mark").bitwiseXOR(F.col("rest"))
+    return each.select("h1", "h2", "first", "n", at.cast("int").alias("at"), variant.alias("variant"))
+
+
+def _without(text: str, at: Column) -> Column:
+    return F.concat(F.substring(text, F.lit(1), at), F.substring(text, at + 2, F.length(text)))
+
+
 def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataFrame:
     """h1 and h2 of the lines within one edit of a line with an earlier first place."""
     keys = distinct.select("h1", F.explode("halves").alias("half"))
@@ -69,38 +116,38 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, least_chars: int) -> DataF
     near = lines.join(some, list(_PLACE)).select("h1", "h2", F.struct(*_PLACE).alias("first"), "line", "n")
     near = written(near, "candidate-lines")
 
-    def without(i: Column) -> Column:
-        return F.xxhash64(F.concat(F.substring("line", F.lit(1), i), F.substring("line", i + 2, F.col("n"))))
-
-    variants = near.select(
-        "h1", "h2", "first", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), without)).alias("at", "variant")
-    )
-    variants = written(variants, "variants")
+    written_variants = written(_variants(near), "variants")
+    variants, whole = written_variants.where("at < n"), written_variants.where("at = n")
     # Same length, same place deleted: all lines of the group differ there only.
     groups = variants.groupBy("n", "at", "variant").agg(
         F.min(F.struct("first", "h1", "h2")).alias("least"), F.count(F.lit(1)).alias("lines")
     )
     groups = written(groups.where("lines > 1").drop("lines"), "variant-groups")
     replaced = variants.join(groups, ["n", "at", "variant"]).where("least.first < first")
-    replaced = replaced.select("h1", "h2", F.col("least.h1").alias("e1"), F.col("least.h2").alias("e2"))
+    replaced = replaced.select("h1", "h2", F.col("least.h1").alias("e1"), F.col("least.h2").alias("e2"), "at")
     # A deletion that is a whole line.
-    whole = near.select((F.col("n") + 1).alias("n"), F.xxhash64("line").alias("variant"), "first", "h1", "h2")
+    whole = whole.select((F.col("n") + 1).alias("n"), "variant", "first", "h1", "h2")
     whole = whole.toDF("n", "variant", "short_first", "s1", "s2")
-    both = variants.select("n", "variant", "first", "h1", "h2").join(whole, ["n", "variant"])
+    both = variants.join(whole, ["n", "variant"])
     long_goes = F.col("short_first") < F.col("first")
     shorter = both.select(
         F.when(long_goes, F.col("h1")).otherwise(F.col("s1")).alias("h1"),
         F.when(long_goes, F.col("h2")).otherwise(F.col("s2")).alias("h2"),
         F.when(long_goes, F.col("s1")).otherwise(F.col("h1")).alias("e1"),
         F.when(long_goes, F.col("s2")).otherwise(F.col("h2")).alias("e2"),
+        "at",
     )
-    pairs = written(replaced.unionByName(shorter).distinct(), "line-pairs")
-    forget(variants, groups)
+    # In a run of equal letters each place gives the same pair; one of them is enough.
+    pairs = replaced.unionByName(shorter).groupBy("h1", "h2", "e1", "e2").agg(F.min("at").alias("at"))
+    pairs = written(pairs, "line-pairs")
+    forget(written_variants, groups)
     texts = near.select("h1", "h2", "line")
     earlier = near.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("line").alias("earlier"))
     checked = pairs.join(texts, ["h1", "h2"]).join(earlier, ["e1", "e2"])
-    distance = F.levenshtein("line", "earlier", EDITS)
-    return checked.where((distance >= 0) & (distance <= EDITS)).select("h1", "h2").distinct()
+    n, m = F.length("line"), F.length("earlier")
+    one, other = _without("line", F.col("at")), _without("earlier", F.col("at"))
+    equal = F.when(n == m, one == other).when(n > m, one == F.col("earlier")).otherwise(F.col("line") == other)
+    return checked.where(equal).select("h1", "h2").distinct()
 
 
 def _removed(docs: DataFrame, least_chars: int, exact_chars: int) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -218,6 +219,29 @@ def test_lines(spark):
     assert found == {i: force[i] for i, _ in docs} and sum(found.values()) > 30
 
 
+def test_variants_of_a_line(spark):
+    draw = random.Random(8)
+    lines = ["", "ab", "aab"] + ["".join(draw.choice("xy\U0001f600é") for _ in range(n)) for n in (511, 512, 513, 1030)]
+    rows = [(i, i, (i, 0, 0), line, len(line)) for i, line in enumerate(lines) if line]
+    near = spark.createDataFrame(rows, "h1 bigint, h2 bigint, first struct<doc_id: bigint, copy: int, line_no: int>, line string, n int")
+    hashes = {(r["h1"], r["at"]): r["variant"] for r in line_dedup._variants(near).collect()}
+    left = {(i, at): line[:at] + line[at + 1 :] for i, line in enumerate(lines) if line for at in range(len(line) + 1)}
+    assert hashes.keys() == left.keys()
+    # equal texts have equal hashes, different ones different hashes, whichever line and place they come from
+    assert len(set(zip(hashes.values(), (left[k] for k in hashes)))) == len(set(left.values())) == len(set(hashes.values()))
+
+
+def test_very_long_lines(spark):
+    draw = random.Random(9)
+    line = "".join(draw.choice("abcdefgh \U0001f600") for _ in range(1_000_000))
+    docs = [(1, line), (2, line[:700_000] + "#" + line[700_001:]), (3, line[:5] + line[6:]), (4, line[::-1])]
+    begin = time.monotonic()
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {row["doc_id"]: row["n_removed"] for row in line_dedup.removed_lines(frame).collect()}
+    assert found == {1: 0, 2: 1, 3: 1, 4: 0}
+    assert time.monotonic() - begin < 120  # hours, were each variant built as a text
+
+
 def test_awkward_lines(awkward, no_docs):
     found = sorted((row["doc_id"], row["n_lines"], row["n_removed"]) for row in line_dedup.removed_lines(awkward).collect() if row["doc_id"] is not None)
     counts = Counter(found)
