@@ -238,14 +238,28 @@ def test_toxicity(spark, awkward, no_docs):
     docs, labels, truth = labelled(spark)
     known = labels.where("doc_id < 200")
     rows = {r["doc_id"]: r for r in toxicity.toxicity(docs, known).collect()}
-    held = [rows[i]["toxic"] == bool(t) for i, _, t in truth if i >= 200]
-    assert np.mean(held) >= 0.9  # 160 labelled texts or so teach the words
+    # 160 labelled texts or so teach the words
+    caught = [rows[i]["toxic"] for i, _, t in truth if i >= 200 and t]
+    flagged = [rows[i]["toxic"] for i, _, t in truth if i >= 200 and not t]
+    assert len(caught) > 5 and np.mean(caught) >= 0.9 and np.mean(flagged) <= 0.05
     assert len(toxicity.toxicity(awkward, labels).collect()) == awkward.count()
     assert rows_of(toxicity.toxicity(no_docs, labels)) == []
     none = {r["p_toxic"] for r in toxicity.toxicity(docs, labels.where("false")).collect()}
     assert none == {0.5}
 
 
+def test_toxicity_learns_one_text_of_a_repeated_id(spark, monkeypatch):
+    docs, labels, _ = labelled(spark)
+    crowd = spark.range(3000).select(F.lit(7).cast("bigint").alias("doc_id"), F.concat(F.lit("odd text "), "id").alias("text"))
+    taught = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda words, presence, marks, folds: taught.append((len(presence), marks)))
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs.unionByName(crowd), labels)
+    assert taught[0][0] == taught[1][0] == docs.count()
+    toxicity.fit(docs.unionByName(crowd), labels, rows=50)
+    assert taught[2][0] == 50
+
+
 def test_later_categories_use_earlier_ones():
     draw = np.random.RandomState(2)
     presence = draw.randint(0, 2, (400, 6)).astype(float)
