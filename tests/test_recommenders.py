@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -330,3 +331,29 @@ def test_blocks_without_enough_common_users_are_not_multiplied(spark, monkeypatc
     assert _edges(found) == _matrix_edges(stars, 3, 0.3)
     made = [path for path in tables_written(spark)[before:] if "/block-pairs-" in path]
     assert spark.read.parquet(made[0]).count() == 8  # of 36
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_pairs_of_ratings_are_added_up_where_they_meet(spark, monkeypatch, repeats):
+    draw = random.Random(4)
+    rows = [(u, draw.randint(0, 25), float(draw.randint(1, 5))) for u in range(40) for _ in range(9)]
+    rows += [(None, 1, 2.0), (None, 2, 3.0), (1, None, 4.0)]
+    ratings = spark.createDataFrame(rows, "user_id int, business_id int, stars double")
+    if not repeats:
+        ratings = pearson.latest_ratings(ratings, None)
+    expected = {}
+    kept = [r for r in ratings.collect() if r.user_id is not None and r.business_id is not None]
+    for x in kept:
+        for y in kept:
+            if x.user_id == y.user_id and x.business_id < y.business_id:
+                terms = (1, x.stars, y.stars, x.stars**2, y.stars**2, x.stars * y.stars)
+                known = expected.get((x.business_id, y.business_id), (0,) * 6)
+                expected[x.business_id, y.business_id] = tuple(a + b for a, b in zip(known, terms))
+    expected = {pair: sums for pair, sums in expected.items() if sums[0] >= 2}
+    moments = pearson.pair_moments(ratings, 2)
+    plan = moments._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(b1" in plan.replace("#", " ") and not re.search(r"hashpartitioning\(b1#\d+, b2#", plan)
+    assert {(r.b1, r.b2): tuple(r[2:]) for r in moments.collect()} == expected
+    monkeypatch.setattr(pearson, "FIRST_PAIRS", 100)
+    monkeypatch.setattr(pearson, "TASK_PAIRS", 50)
+    assert {(r.b1, r.b2): tuple(r[2:]) for r in pearson.pair_moments(ratings, 2).collect()} == expected
