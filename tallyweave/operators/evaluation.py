@@ -1,6 +1,6 @@
 """Precision and recall of found pairs, and error of predicted ratings."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,11 +25,25 @@ def precision_recall(found: DataFrame, truth: DataFrame, keys: list[str], weight
         total((F.col("f") == 1) & (F.col("t") == 1)).alias("hits"),
         total(F.col("f") == 1).alias("found"),
         total(F.col("t") == 1).alias("truth"),
-    ).select(
-        "*",
-        F.try_divide(F.col("hits").cast("double"), F.col("found")).alias("precision"),
-        F.try_divide(F.col("hits").cast("double"), F.col("truth")).alias("recall"),
-    )
+    ).select("*", *_ratios())
+
+
+def _ratios() -> list[Column]:
+    hits = F.col("hits").cast("double")
+    return [F.try_divide(hits, F.col("found")).alias("precision"), F.try_divide(hits, F.col("truth")).alias("recall")]
+
+
+def precision_recall_of_counts(counted: DataFrame) -> DataFrame:
+    """As :func:`precision_recall`, from rows (weight, found, similar, hit) that need no key to be told apart.
+
+    The flags say in which of the three counts the ``weight`` of a row belongs; nothing but sums is shuffled.
+    """
+
+    def total(flag: str):
+        return F.coalesce(F.sum(F.when(F.col(flag), F.col("weight"))), F.lit(0))
+
+    totals = counted.agg(total("hit").alias("hits"), total("found").alias("found"), total("similar").alias("truth"))
+    return totals.select("*", *_ratios())
 
 
 def rmse(predictions: DataFrame, truth: DataFrame) -> DataFrame:
