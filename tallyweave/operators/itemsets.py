@@ -7,12 +7,18 @@ While mining, items are numbers in ascending order of support and an itemset is
 of them.  Candidates grow from a stem of the rarest items, so the most common items, which go with
 nearly everything, are never what a group of candidates has in common.
 
-From three items on, itemsets are counted by vertical bit maps: baskets are numbered, and an itemset has
-a row of ``WORDS`` longs for each range of baskets in which it occurs.  A candidate is its base and one more
-item, so its rows are those of the base, AND those of the item; its support is the bits left.
+Equal baskets of a few items are one row with a weight, and so are equal rests of them: a candidate is
+counted from the tails of its prefix, which are what follows the prefix in baskets.  There are no more of
+them than different item lists, however many baskets there are.
+
+Larger baskets, and all of them where what folding leaves is still dense, are counted by vertical bit maps
+from three items on: baskets are numbered, and an itemset has a row of ``WORDS`` longs for each range of
+baskets in which it occurs.  A candidate is its base and one more item, so its rows are those of the base,
+AND those of the item; its support is the bits left, each worth the weight of its range.
 """
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +30,7 @@ from tallyweave.sources.scans import spread_small_scan
 from tallyweave.storage import written
 
 HEAVY_BASKET = 2000  # items from which a basket may be set aside while pairs are formed
+FOLD_ITEMS = 16  # frequent items up to which a basket is an array, and equal baskets are one
 SET_ASIDE = 62  # baskets set aside per shard at most: one bit each of a long
 PAIR_BUCKETS = 30_000_000
 BUCKET_STEP = 1_000_003
@@ -33,6 +40,8 @@ WORDS = 16  # longs of a row of a bit map, where items are dense enough; else on
 # rows of WORDS are full enough to pay.
 DENSE = 1 / 4
 _WORD_BITS = 64
+_PLANES = 64  # a basket of weight w is in plane p where bit p of w is set
+_UNFOLDED = _PLANES  # the plane of larger baskets, of weight 1 each
 
 _SET = ["shard", "items"]
 
@@ -92,21 +101,51 @@ def _set_aside(heavy: DataFrame, needs: DataFrame) -> DataFrame:
     return written(chosen.select("shard", "basket", (F.col("place") - 1).alias("bit")), "set-aside")
 
 
-def _numbered(kept: DataFrame) -> DataFrame:
-    """(shard, basket, size, number): numbers without gaps within a partition, of one shard after another."""
-    sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
-    return written(sizes.sortWithinPartitions("shard").withColumn("number", F.monotonically_increasing_id()), "baskets-numbered")
+@dataclass(frozen=True)
+class _Baskets:
+    """The baskets of a run, those of at most ``FOLD_ITEMS`` items folded."""
 
+    small: DataFrame  # shard, items, weight: ascending items and how many baskets have just these
+    large: DataFrame | None  # shard, basket, item: rows of the other baskets, None if there are none
+    sizes: DataFrame  # shard, basket, size: of the other baskets
 
-def _light_pairs(kept: DataFrame, sizes: DataFrame, needs: DataFrame, heavy_basket: int):
-    """Pairs in the baskets not set aside, the limits they answer to, and what the others add.
+
+def _folded(kept: DataFrame, heavy_basket: int) -> _Baskets:
+    """Baskets from their rows (shard, basket, item); those without a key are in no pair."""
+    keys = ["shard", "basket"]
+    rows = kept.where(F.col("basket").isNotNull())
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    sizes = written(sizes.where(F.col("size") > min(FOLD_ITEMS, heavy_basket)), "large-baskets")
+    large = None
+    if not sizes.isEmpty():
+        large = written(rows.join(sizes, keys, "left_semi"), "large-rows")
+        rows = rows.join(sizes, keys, "left_anti")
+    lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    small = lists.groupBy(*_SET).agg(F.count(F.lit(1)).alias("weight"))
+    return _Baskets(written(small, "folded-baskets"), large, sizes)
+
+
+def _pairs_in_place(small: DataFrame) -> DataFrame:
+    """(shard, item_1, item_2, weight) of the pairs in each row's items."""
+    first = small.select("shard", "items", "weight", F.posexplode("items").alias("place", "item_1"))
+    later = F.explode(F.slice("items", F.col("place") + 2, F.size("items")))
+    pairs = first.select("shard", "item_1", later.alias("item_2"), "weight")
+    return pairs.where(F.col("item_1") < F.col("item_2"))
+
+
+def _light_pairs(baskets: _Baskets, needs: DataFrame, heavy_basket: int):
+    """Weighted pairs in the baskets not set aside, the limits they answer to, and what the others add.
 
     Limits are (shard, need, spare), spare being the number of baskets set aside.  The addition is a
     mask per item, (shard, item, mask), of the set-aside baskets that hold it, or None.
     """
-    heavy = written(sizes.where(F.col("size") > heavy_basket).select("shard", "basket", "size"), "heavy-baskets")
-    light, big, masks = kept, heavy, None
-    limits = needs.withColumn("spare", F.lit(0))
+    pairs = _pairs_in_place(baskets.small)
+    limits, masks = needs.withColumn("spare", F.lit(0)), None
+    if baskets.large is None:
+        return pairs, F.broadcast(limits), masks
+    kept = baskets.large
+    heavy = written(baskets.sizes.where(F.col("size") > heavy_basket), "heavy-baskets")
+    light, big = kept, heavy
     if not heavy.isEmpty():
         aside = F.broadcast(_set_aside(heavy, needs))  # at most SET_ASIDE rows a shard
         light = kept.join(aside, ["shard", "basket"], "left_anti")
@@ -120,15 +159,14 @@ def _light_pairs(kept: DataFrame, sizes: DataFrame, needs: DataFrame, heavy_bask
         spare = aside.groupBy("shard").agg(F.count(F.lit(1)).alias("spare"))
         limits = needs.join(spare, "shard", "left").na.fill(0, ["spare"])
     cells = big.select("shard", "basket", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("cells"))
-    pairs = pairs_in_groups(light, ["shard", "basket"], "item", big=cells)
+    joined = pairs_in_groups(light, ["shard", "basket"], "item", big=cells)
+    pairs = pairs.unionByName(joined.drop("basket").withColumn("weight", F.lit(1).cast("bigint")))
     return pairs, F.broadcast(limits), masks  # limits: one row a shard
 
 
-def _pair_counts(
-    kept: DataFrame, sizes: DataFrame, needs: DataFrame, heavy_basket: int, buckets: int | None
-) -> DataFrame:
+def _pair_counts(baskets: _Baskets, needs: DataFrame, heavy_basket: int, buckets: int | None) -> DataFrame:
     """(shard, items, support) of the frequent pairs."""
-    pairs, limits, masks = _light_pairs(kept, sizes, needs, heavy_basket)
+    pairs, limits, masks = _light_pairs(baskets, needs, heavy_basket)
     if buckets is None:
         counts = _counted(pairs, limits)
     else:
@@ -145,7 +183,7 @@ def _pair_counts(
 
 def _counted(pairs: DataFrame, limits: DataFrame) -> DataFrame:
     """(shard, item_1, item_2, support, need) of the pairs that set-aside baskets may make frequent."""
-    counts = pairs.groupBy("shard", "item_1", "item_2").agg(F.count(F.lit(1)).alias("support"))
+    counts = pairs.groupBy("shard", "item_1", "item_2").agg(F.sum("weight").alias("support"))
     return _within(counts, "support", limits)
 
 
@@ -159,8 +197,8 @@ def _bucket(buckets: int) -> Column:
 
 
 def pair_buckets(pairs: DataFrame, buckets: int = PAIR_BUCKETS) -> DataFrame:
-    """(shard, bucket, n): pair occurrences per hash bucket, added up where the pairs are formed."""
-    return pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    """(shard, bucket, n): weights of the pairs per hash bucket, added up where the pairs are formed."""
+    return pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(F.sum("weight").alias("n"))
 
 
 def _counted_in_buckets(pairs: DataFrame, limits: DataFrame, buckets: int) -> DataFrame:
@@ -172,7 +210,7 @@ def _counted_in_buckets(pairs: DataFrame, limits: DataFrame, buckets: int) -> Da
     """
     pair = F.struct("item_1", "item_2")
     kept = pairs.groupBy("shard", _bucket(buckets).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(pair).alias("least"), F.max(pair).alias("most")
+        F.sum("weight").alias("n"), F.min(pair).alias("least"), F.max(pair).alias("most")
     )
     frequent = written(_within(kept, "n", limits), "frequent-buckets")
     single = F.col("least") == F.col("most")
@@ -237,21 +275,21 @@ def next_candidates(level: DataFrame, size: int) -> DataFrame:
 
 
 class _Bitmaps:
-    """Bit maps over the numbered baskets of a mining run: rows (shard, items, range, w0, w1, ...)."""
+    """Bit maps over numbered baskets: rows (shard, items, range, w0, w1, ...), a range being of one plane."""
 
-    def __init__(self, kept: DataFrame, numbered: DataFrame, items: int):
-        baskets = numbered.count()
+    def __init__(self, kept: DataFrame, baskets: int, parts: int, items: int):
+        """``kept`` gives (shard, item, number, plane), the numbers of ``baskets`` in ``parts`` runs without gaps."""
         dense = kept.count() >= DENSE * baskets * items
         self.words = [f"w{i}" for i in range(WORDS if dense else 1)]
         bits = _WORD_BITS * len(self.words)
-        # Ranges of a partition of numbers, the last of them perhaps not full.
-        self.ranges = -(-baskets // bits) + numbered.rdd.getNumPartitions()
+        # Ranges of a run of numbers, the last of them perhaps not full.
+        self.ranges = -(-baskets // bits) + parts
         place = F.col("number") % bits
         word, bit = F.floor(place / _WORD_BITS), (place % _WORD_BITS).cast("int")
         mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
         columns = [F.coalesce(F.bit_or(F.when(word == i, mark)), F.lit(0)).alias(w) for i, w in enumerate(self.words)]
-        rows = kept.join(numbered.select("shard", "basket", "number"), ["shard", "basket"])
-        rows = rows.groupBy("shard", "item", F.floor(F.col("number") / bits).alias("range")).agg(*columns)
+        of_plane = F.floor(F.col("number") / bits) * (2 * _PLANES) + F.col("plane")
+        rows = kept.groupBy("shard", "item", of_plane.alias("range")).agg(*columns)
         self._items = written(rows, "item-bitmaps")
 
     def singles(self) -> DataFrame:
@@ -272,7 +310,8 @@ class _Bitmaps:
         both = [F.col(w).bitwiseAND(F.col(f"{w}_x")).alias(w) for w in self.words]
         rows = rows.join(extra, ["shard", "extra", "range"]).select("shard", "items", "range", *both)
         n = reduce(Column.__add__, [F.bit_count(w) for w in self.words])
-        return rows.withColumn("n", n.cast("bigint")).where("n > 0")
+        weight = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("range") % _PLANES).cast("int"))
+        return rows.withColumn("n", n.cast("bigint") * weight).where("n > 0")
 
 
 def _pairs_grown(pairs: DataFrame, singles: DataFrame) -> DataFrame:
@@ -282,12 +321,81 @@ def _pairs_grown(pairs: DataFrame, singles: DataFrame) -> DataFrame:
     return rows.join(support, ["shard", "base"])
 
 
+def _bitmap_rows(baskets: _Baskets, small: bool) -> tuple[DataFrame, int, int]:
+    """What :class:`_Bitmaps` takes, of the larger baskets and, if ``small``, of the folded ones too."""
+    parts = []
+    number = F.monotonically_increasing_id()
+    if small:
+        planes = F.filter(
+            F.sequence(F.lit(0), F.lit(_PLANES - 2)),
+            lambda p: F.call_function("shiftright", F.col("weight"), p).bitwiseAND(F.lit(1)) == 1,
+        )
+        rows = baskets.small.select("shard", F.array_distinct("items").alias("items"), F.explode(planes).alias("plane"))
+        rows = written(rows.sortWithinPartitions("shard", "plane").withColumn("number", number), "folded-numbered")
+        parts.append((rows, rows.select("shard", F.explode("items").alias("item"), "number", "plane")))
+    if baskets.large is not None:
+        rows = written(baskets.sizes.sortWithinPartitions("shard").withColumn("number", number), "baskets-numbered")
+        named = baskets.large.join(rows.select("shard", "basket", "number"), ["shard", "basket"])
+        parts.append((rows, named.select("shard", "item", "number", F.lit(_UNFOLDED).alias("plane"))))
+    count = sum(rows.count() for rows, _ in parts)
+    runs = sum(rows.rdd.getNumPartitions() for rows, _ in parts)
+    return reduce(DataFrame.unionByName, [kept for _, kept in parts]), count, runs
+
+
+def _grown_tails(tails: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(shard, items, tail, weight) of the itemsets ``wanted``, from those of the same without their last item."""
+    rows = tails.select("shard", "items", "tail", "weight", F.posexplode("tail").alias("place", "next"))
+    rest = F.slice("tail", F.col("place") + 2, F.size("tail"))
+    rows = rows.select("shard", F.concat("items", F.array("next")).alias("items"), rest.alias("tail"), "weight")
+    rows = rows.join(wanted.select(*_SET), _SET, "left_semi")
+    return rows.groupBy(*_SET, "tail").agg(F.sum("weight").alias("weight"))
+
+
+class _Supports:
+    """Counts of the candidates of one level after another."""
+
+    def __init__(self, baskets: _Baskets, singles: DataFrame, small: bool, items: int):
+        """``small``: folded baskets too are counted by bit maps."""
+        self._singles = singles
+        self._tails, self._bitmaps, self._rows = None, None, None  # both of the level before
+        if not small:
+            nothing = F.expr("cast(array() as array<bigint>)")
+            tail = F.array_distinct("items")
+            self._tails = baskets.small.select("shard", nothing.alias("items"), tail.alias("tail"), "weight")
+        if small or baskets.large is not None:
+            self._bitmaps = _Bitmaps(*_bitmap_rows(baskets, small), items)
+        self._begun = False
+
+    def of(self, candidates: DataFrame, size: int) -> DataFrame:
+        """(shard, items, support) of the candidates that some basket holds."""
+        counts = []
+        if self._tails is not None:
+            if not self._begun:
+                for begin in range(1, size):
+                    wanted = candidates.select("shard", F.slice("items", 1, begin).alias("items")).distinct()
+                    self._tails = _grown_tails(self._tails, wanted)
+            self._tails = written(_grown_tails(self._tails, candidates), f"tails-{size}")
+            counts.append(self._tails.select(*_SET, F.col("weight").alias("n")))
+        if self._bitmaps is not None:
+            if not self._begun:
+                self._rows = self._bitmaps.singles()
+                if size == 3:
+                    bases = candidates.select("shard", F.col("base").alias("items")).distinct()
+                    grown = self._bitmaps.grown(_pairs_grown(bases, self._singles), self._rows)
+                    self._rows = written(grown, "bitmaps-2")
+            self._rows = written(self._bitmaps.grown(candidates, self._rows.drop("n")), f"bitmaps-{size}")
+            counts.append(self._rows.select(*_SET, "n"))
+        self._begun = True
+        return reduce(DataFrame.unionByName, counts).groupBy(*_SET).agg(F.sum("n").alias("support"))
+
+
 def _levels(
     baskets: DataFrame,
     needs: DataFrame,
     candidates_of: Callable[[DataFrame, int, DataFrame], DataFrame],
-    pair_level: Callable[[DataFrame, DataFrame], DataFrame] | None,
+    pair_level: Callable[[_Baskets], DataFrame] | None,
     max_size: int | None,
+    heavy_basket: int = HEAVY_BASKET,
 ) -> DataFrame:
     """Frequent itemsets level by level; every level is a written table, so lineage stays short.
 
@@ -298,27 +406,27 @@ def _levels(
     kept = written(
         baskets.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item")), "kept-rows"
     )
-    numbered = _numbered(kept)
+    held = _folded(kept, heavy_basket)
     singles = frequent_items.select("shard", F.array("code").alias("items"), "support")
+    shape = held.small.select(F.size("items").alias("size"), "weight")
+    shape = shape.unionByName(held.sizes.select("size", F.lit(1).alias("weight")))
+    shape = shape.agg(F.max("size").alias("longest"), F.sum("size").alias("rows"), F.sum("weight").alias("baskets")).first()
 
     level, found, size = singles, singles, 1
-    bitmaps, rows = None, None  # rows: the bit maps of ``level`` and of candidates that did not make it
-    while not level.isEmpty() and (max_size is None or size < max_size):
+    supports = None
+    while not level.isEmpty() and size < (shape.longest or 0) and (max_size is None or size < max_size):
         size += 1
         if size == 2 and pair_level is not None:
-            level = written(pair_level(kept, numbered), "level-2")
+            level = written(pair_level(held), "level-2")
         else:
             candidates = written(candidates_of(level, size, codes), f"candidates-{size}")
             if candidates.isEmpty():
                 break
-            if bitmaps is None:
-                bitmaps = _Bitmaps(kept, numbered, codes.count())
-                rows = bitmaps.singles()
-                if size == 3:
-                    bases = candidates.select("shard", F.col("base").alias("items")).distinct()
-                    rows = written(bitmaps.grown(_pairs_grown(bases, singles), rows), "bitmaps-2")
-            rows = written(bitmaps.grown(candidates, rows.drop("n")), f"bitmaps-{size}")
-            counts = rows.groupBy(*_SET).agg(F.sum("n").alias("support"))
+            if supports is None:
+                items = codes.count()
+                # Where folding pays, few rows are left of the baskets there were.
+                supports = _Supports(held, singles, shape.rows >= DENSE * shape.baskets * items, items)
+            counts = supports.of(candidates, size)
             frequent = counts.join(F.broadcast(needs), "shard").where(F.col("support") >= F.col("need"))
             level = written(frequent.select("shard", "items", "support"), f"level-{size}")
         found = found.unionByName(level)
@@ -343,7 +451,7 @@ def frequent_itemsets(
     rows = written(baskets.select(F.lit(0).alias("shard"), "basket", "item"), "baskets")
     needs = _need_overall(rows, support)
     found = _levels(
-        rows, needs, _grown, lambda kept, sizes: _pair_counts(kept, sizes, needs, heavy_basket, buckets), max_size
+        rows, needs, _grown, lambda held: _pair_counts(held, needs, heavy_basket, buckets), max_size, heavy_basket
     )
     return found.drop("shard")
 
@@ -359,7 +467,7 @@ def sharded_candidates(
     rows = written(baskets.select("shard", "basket", "item"), "baskets")
     needs = written(shard_needs(rows, support), "needs")
     found = _levels(
-        rows, needs, _grown, lambda kept, sizes: _pair_counts(kept, sizes, needs, heavy_basket, buckets), max_size
+        rows, needs, _grown, lambda held: _pair_counts(held, needs, heavy_basket, buckets), max_size, heavy_basket
     )
     return found.select("size", "items").distinct()
 
@@ -373,8 +481,7 @@ def bucket_counts(
     frequent_items, _ = _singles(rows, needs)
     kept = rows.join(frequent_items, ["shard", "item"]).select("shard", "basket", F.col("code").alias("item"))
     kept = written(kept, "kept-rows")
-    sizes = kept.groupBy("shard", "basket").agg(F.count(F.lit(1)).alias("size"))
-    pairs, _, _ = _light_pairs(kept, sizes, needs, heavy_basket)
+    pairs, _, _ = _light_pairs(_folded(kept, heavy_basket), needs, heavy_basket)
     return pair_buckets(pairs, buckets)
 
 

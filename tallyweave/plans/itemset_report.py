@@ -39,8 +39,8 @@ def itemset_report(
     A ``shard`` column given with the baskets is used as it is; otherwise baskets are dealt to
     ``shards``.  ``with_buckets`` prunes pairs by hash buckets while candidates are formed.
     """
-    sharded = baskets if "shard" in baskets.columns else in_shards(baskets, shards)
+    sharded = written(baskets if "shard" in baskets.columns else in_shards(baskets, shards), "sharded-baskets")
     buckets = PAIR_BUCKETS if with_buckets else None
     candidates = written(sharded_candidates(sharded, support, buckets, max_size, heavy_basket), "all-candidates")
-    frequent = count_candidates(baskets, candidates, support)
+    frequent = count_candidates(sharded, candidates, support)
     return ItemsetReport(candidates, count_by_size(candidates), frequent)

@@ -170,3 +170,28 @@ def test_pairs_are_formed_once_where_no_bucket_is_shared(spark, monkeypatch, buc
     found = itemsets.frequent_itemsets(_frame(spark, made), 6, buckets=buckets, heavy_basket=5)
     assert _found(found) == _brute(made, 6)
     assert 1 + len(calls) == formed
+
+
+@pytest.mark.parametrize("fold, dense, words", [(3, 1.0, 1), (3, 0.0, 2)])
+def test_folded_and_larger_baskets_add_up(spark, monkeypatch, fold, dense, words):
+    """Equal baskets of several weights, small ones as tails or planes of bit maps, others unfolded."""
+    monkeypatch.setattr(itemsets, "FOLD_ITEMS", fold)
+    monkeypatch.setattr(itemsets, "DENSE", dense)
+    monkeypatch.setattr(itemsets, "WORDS", words)
+    made = dict(enumerate([basket for basket in _baskets(8, n=40).values() for _ in range(1 + len(basket))]))
+    assert _found(itemsets.frequent_itemsets(_frame(spark, made), 9)) == _brute(made, 9)
+    listed = spark.createDataFrame([(list(items),) for items in _brute(made, 4)], "items array<string>")
+    assert _found(itemsets.count_candidates(_frame(spark, made), listed, 9)) == _brute(made, 9)
+
+
+def test_levels_do_not_follow_equal_baskets(spark):
+    def mined(times):
+        before = len(tables_written(spark))
+        made = dict(enumerate(list(_baskets(3, n=50, items=40).values()) * times))
+        found = _found(itemsets.frequent_itemsets(_frame(spark, made), 2 * times))
+        tables = [path for path in tables_written(spark)[before:] if "/bitmaps-" in path or "/tails-" in path]
+        return found, [spark.read.parquet(path).count() for path in tables]
+
+    (once, rows), (often, rows_often) = mined(1), mined(200)
+    assert often == {items: 200 * n for items, n in once.items()} and max(map(len, once)) > 2
+    assert rows and rows_often == rows
