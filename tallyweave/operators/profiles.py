@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.sets import computed_once, jaccard_of_counts
 from tallyweave.operators.skew import spread_join
+from tallyweave.storage import written
+
+SENT_WORDS = 1_000_000  # words of all business profiles up to which they are sent to every task
 
 
 def business_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:
@@ -19,9 +22,16 @@ def business_profiles(reviews: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def user_words(reviews: DataFrame, terms: DataFrame) -> DataFrame:
-    """Distinct (user_id, word) over the profiles of the businesses a user reviewed."""
+    """Distinct (user_id, word) over the profiles of the businesses a user reviewed.
+
+    Few terms are sent to where a user's visits are, so that the words of a visit are not shuffled.
+    """
     visited = reviews.select("user_id", "business_id").distinct()
-    met = spread_join(visited, terms.select("business_id", "word"), ["business_id"])
+    words = terms.select("business_id", "word")
+    if words.count() <= SENT_WORDS:
+        met = visited.repartition("user_id").join(F.broadcast(words), "business_id")
+    else:
+        met = spread_join(visited, words, ["business_id"])
     return met.select("user_id", "word").distinct()
 
 
@@ -41,13 +51,23 @@ def profile_scores(
     """(user_id, business_id, sim) of the pairs whose profiles reach the least similarity.
 
     Every pair is scored once and joined back to its rows, so repeated pairs stay repeated.  A pair
-    without one of the profiles scores 0.
+    without one of the profiles scores 0.  Words are compared by their 64-bit hashes.
     """
     wanted = pairs.select("user_id", "business_id").distinct()
-    # Business profiles are short; the longer user profiles join last and are not moved per pair.
-    profiled = wanted.join(
-        businesses.select("business_id", F.col("profile").alias("business_words")), "business_id", "left"
-    ).join(users.select("user_id", F.col("profile").alias("user_words")), "user_id", "left")
+    hashed = F.transform("profile", lambda word: F.xxhash64(word))
+    of_business = businesses.select("business_id", "profile", hashed.alias("business_words"))
+    of_user = users.select("user_id", "profile", hashed.alias("user_words"))
+    if least > 0:  # a pair without a word on either side does not pass
+        of_business, of_user = (side.where(F.size("profile") > 0) for side in (of_business, of_user))
+    how = "inner" if least > 0 else "left"
+    of_business = written(of_business.drop("profile"), "business-words")
+    of_user = of_user.drop("profile")
+    if (of_business.agg(F.sum(F.size("business_words"))).first()[0] or 0) <= SENT_WORDS:
+        # Pairs move alone; profiles meet them where they are.
+        profiled = wanted.join(of_user, "user_id", how).join(F.broadcast(of_business), "business_id", how)
+    else:
+        # Business profiles are short; the longer user profiles join last and are not moved per pair.
+        profiled = wanted.join(of_business, "business_id", how).join(of_user, "user_id", how)
     size_u = F.coalesce(F.size("user_words"), F.lit(0))
     size_b = F.coalesce(F.size("business_words"), F.lit(0))
     shared = F.coalesce(F.size(F.array_intersect("user_words", "business_words")), F.lit(0))

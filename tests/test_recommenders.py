@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweave.operators import evaluation, neighbours, pearson, products, tfidf
+from tallyweave.operators import evaluation, neighbours, pearson, products, profiles, tfidf
 from tallyweave.plans import collaborative, content
 from tallyweave.sources import readers, writers
 from tallyweave.storage import tables_written
@@ -357,3 +357,34 @@ def test_pairs_of_ratings_are_added_up_where_they_meet(spark, monkeypatch, repea
     monkeypatch.setattr(pearson, "FIRST_PAIRS", 100)
     monkeypatch.setattr(pearson, "TASK_PAIRS", 50)
     assert {(r.b1, r.b2): tuple(r[2:]) for r in pearson.pair_moments(ratings, 2).collect()} == expected
+
+
+def test_profiles_meet_pairs_without_moving_with_them(spark, monkeypatch):
+    """Neither a profile nor its words are shuffled a pair or a visit; many words take the joins."""
+    businesses = spark.createDataFrame(
+        [("a", ["x", "y", None]), ("b", []), ("c", None), ("d", ["z"])], "business_id string, profile array<string>"
+    )
+    users = spark.createDataFrame([("u", ["y", None]), ("v", []), ("w", ["z", "x"])], "user_id string, profile array<string>")
+    asked = [(u, b) for u in ("u", "v", "w", "none", None) for b in ("a", "b", "c", "d", "none", None)]
+    pairs = spark.createDataFrame(asked * 2, "user_id string, business_id string")
+    reviews = spark.createDataFrame([("u", "a"), ("u", "a"), ("u", "d"), ("w", "b"), (None, "a")], "user_id string, business_id string")
+    terms = spark.createDataFrame([("a", "x"), ("a", "y"), ("d", "x")], "business_id string, word string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = []
+        for most in (100, 0):
+            monkeypatch.setattr(profiles, "SENT_WORDS", most)
+            scores = [profiles.profile_scores(pairs, businesses, users, least) for least in (0.01, 0.0)]
+            words = profiles.user_words(reviews, terms)
+            seen.append([Counter(tuple(r) for r in df.collect()) for df in (*scores, words)])
+            if most:
+                plan = words._jdf.queryExecution().executedPlan().toString()
+                assert not re.search(r"hashpartitioning\([^)]*word", plan)
+                plan = scores[0]._jdf.queryExecution().optimizedPlan().toString()
+                assert "strategy=broadcast" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen[0] == seen[1]
+    assert seen[0][0] == {("u", "a", 2 / 3): 2, ("w", "a", 1 / 4): 2, ("w", "d", 1 / 2): 2}
+    assert sum(seen[0][1].values()) == 40
+    assert seen[0][2] == {("u", "x"): 1, ("u", "y"): 1, (None, "x"): 1, (None, "y"): 1}
