@@ -388,3 +388,23 @@ def test_profiles_meet_pairs_without_moving_with_them(spark, monkeypatch):
     assert seen[0][0] == {("u", "a", 2 / 3): 2, ("w", "a", 1 / 4): 2, ("w", "d", 1 / 2): 2}
     assert sum(seen[0][1].values()) == 40
     assert seen[0][2] == {("u", "x"): 1, ("u", "y"): 1, (None, "x"): 1, (None, "y"): 1}
+
+
+def test_lists_of_a_user_travel_in_the_narrowest_exact_types(spark):
+    cells = "user bigint, item bigint, s double"
+    kinds = []
+    for item, stars in ((5, 4.0), (2**33, 4.5), (70_000, 0.1), (5, 300.0), (5, float("nan"))):
+        rows = [(u, item + i, None if u == 1 and i == 1 else stars) for u in range(3) for i in range(3)]
+        frame = spark.createDataFrame(rows, cells)
+        lists, _, _ = pearson._by_first(frame, ["s"])
+        types = dict(lists.dtypes)
+        kinds.append((types["b1"], types["s"]))
+        moments = pearson._met_moments(frame, spark.createDataFrame([], "user bigint, cells int"), True)
+        assert moments.dtypes[0] == ("b1", "bigint")
+        # One exchange by user and one by the first item.
+        assert moments._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+        found = {(r.b1, r.b2): r for r in moments.collect()}
+        assert set(found) == {(item + i, item + j) for i, j in combinations(range(3), 2)}
+        for r in found.values():
+            assert r.n == 3 and (r.s1 == pytest.approx((2 if r.b1 == item + 1 else 3) * stars, nan_ok=True))
+    assert kinds == [("tinyint", "array<tinyint>"), ("bigint", "array<float>"), ("int", "array<double>"), ("tinyint", "array<float>"), ("tinyint", "array<float>")]
