@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweave.operators import evaluation, neighbours, pearson, products, profiles, tfidf
+from tallyweave.operators import evaluation, neighbours, pearson, products, profiles, skew, tfidf
 from tallyweave.plans import collaborative, content
 from tallyweave.sources import readers, writers
 from tallyweave.storage import tables_written
@@ -408,3 +408,18 @@ def test_lists_of_a_user_travel_in_the_narrowest_exact_types(spark):
         for r in found.values():
             assert r.n == 3 and (r.s1 == pytest.approx((2 if r.b1 == item + 1 else 3) * stars, nan_ok=True))
     assert kinds == [("tinyint", "array<tinyint>"), ("bigint", "array<float>"), ("int", "array<double>"), ("tinyint", "array<float>"), ("tinyint", "array<float>")]
+
+
+def test_large_tables_are_grouped_in_more_tasks(spark, monkeypatch):
+    rows = [(f"u{u}", f"b{(u * 7 + k * k) % 23}", float(1 + (u + k) % 5), u % 3) for u in range(60) for k in range(8)]
+    ratings = spark.createDataFrame(rows, RATING)
+    expected = sorted(collaborative.item_similarity(ratings, 2, 0.1).collect())
+    monkeypatch.setattr(skew, "TASK_ROWS", 20)
+    before = set(tables_written(spark))
+    assert sorted(collaborative.item_similarity(ratings, 2, 0.1).collect()) == expected and expected
+    new = [path for path in tables_written(spark) if path not in before]
+    for label in ("ratings-", "all-cells-", "user-lists-"):
+        path = next(p for p in new if p.rsplit("/", 1)[1].startswith(label))
+        # Only partitions that hold rows leave a file; the session has 4.
+        assert len(spark.read.parquet(path).inputFiles()) > 4, label
+    assert skew.tasks_for(spark, 80) is None and skew.tasks_for(spark, 81) == 5
