@@ -1,7 +1,7 @@
 """The item-item model kept between builds: new ratings change it without pairing the old ones again.
 
 The model holds the latest rating of every user and business, clustered by user, and the moments of every
-pair of businesses that users of at most ``heavy_user`` ratings rated, clustered by pair.  Moments are sums
+pair of businesses that users of at most ``heavy_user`` ratings rated, clustered by the first one.  Moments are sums
 over users, so a batch of ratings changes them by the pairs that hold a changed rating: what the pair adds
 now less what it added before.  Heavier users have no pairs in the model; their part is computed with the
 edges, by blocks (:mod:`tallyweave.operators.products`).
@@ -12,27 +12,30 @@ are kept and form no pairs; an empty batch leaves the model as it is.  Sums of h
 so a model refreshed many times equals one built at once; with other scales sums can differ in the last digits.
 """
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.operators import neighbours, pearson, products
 from tallyweave.operators.skew import CELL_ROWS
-from tallyweave.sources.model_tables import BUCKETS, read_clustered, write_clustered
+from tallyweave.sources.model_tables import BUCKETS, buckets_of, read_clustered, write_clustered
 from tallyweave.storage import new_path, written
 
 MOMENTS = products.MOMENTS
+BUCKET_PAIRS = 500_000  # pairs of ratings for a bucket of a new model, so that it has room to grow
 _PAIR = ["b1", "b2"]
 
 
 @dataclass(frozen=True)
 class RatingModel:
-    """``cells`` (user, item, late, stars) and ``moments`` (b1, b2, n, s1, s2, q1, q2, s12)."""
+    """``cells`` (user, item, late, stars) and ``moments`` (b1, b2, n, s1, s2, q1, q2, s12), in ``buckets`` each."""
 
     cells: DataFrame
     moments: DataFrame
     heavy_user: int
+    buckets: int
 
 
 def _late_cells(ratings: DataFrame, order: str) -> DataFrame:
@@ -42,12 +45,12 @@ def _late_cells(ratings: DataFrame, order: str) -> DataFrame:
     ).select("user", "item", "latest.*")
 
 
-def _stored(cells: DataFrame, moments: DataFrame, heavy_user: int, path: str, buckets: int) -> RatingModel:
-    return RatingModel(
-        write_clustered(cells.select("user", "item", "late", "stars"), f"{path}/cells", ["user"], buckets),
-        write_clustered(moments.select(*_PAIR, *MOMENTS), f"{path}/moments-{heavy_user}", _PAIR, buckets),
-        heavy_user,
-    )
+def _stored(
+    cells: DataFrame, moments: DataFrame, heavy_user: int, path: str, buckets: int, placed: bool
+) -> RatingModel:
+    kept = write_clustered(moments.select(*_PAIR, *MOMENTS), f"{path}/moments-{heavy_user}", ["b1"], buckets, placed)
+    cells = write_clustered(cells.select("user", "item", "late", "stars"), f"{path}/cells", ["user"], buckets)
+    return RatingModel(cells, kept, heavy_user, buckets)
 
 
 def build(
@@ -55,22 +58,32 @@ def build(
     path: str | None = None,
     order: str = "ts",
     heavy_user: int = pearson.HEAVY_USER,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> RatingModel:
-    """The model of ``ratings``, written under ``path`` or among the intermediate tables."""
+    """The model of ``ratings``, written under ``path`` or among the intermediate tables.
+
+    ``buckets`` follow the pairs of ratings unless given.
+    """
     cells = written(_late_cells(ratings, order), "model-cells")
     sizes = written(cells.groupBy("user").agg(F.count(F.lit(1)).alias("size")), "model-sizes")
-    light = cells.join(sizes.where(F.col("size") <= heavy_user).select("user"), "user", "left_semi")
-    big = sizes.where((F.col("size") <= heavy_user) & (F.col("size") > CELL_ROWS))
-    big = big.select("user", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("cells"))
-    moments = pearson.met_moments(light.select("user", "item", F.col("stars").alias("s")), big)
-    return _stored(cells, _zeroed(moments), heavy_user, path or new_path(ratings.sparkSession, "model"), buckets)
+    named = sizes.where((F.col("size") <= heavy_user) & F.col("user").isNotNull())
+    if buckets is None:
+        pairs = named.agg(F.sum(F.col("size").cast("double") * (F.col("size") - 1) / 2)).first()[0] or 0
+        buckets = max(BUCKETS, math.ceil(pairs / BUCKET_PAIRS))
+    path = path or new_path(ratings.sparkSession, "model")
+    light = cells.join(named.select("user"), "user", "left_semi").select("user", "item", F.col("stars").alias("s"))
+    big = named.where(F.col("size") > CELL_ROWS).select("user", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("cells"))
+    if not big.isEmpty():
+        return _stored(cells, _zeroed(pearson.met_moments(light, big)), heavy_user, path, buckets, placed=False)
+    lists, popular = pearson.first_lists(light.select("*", F.lit(1).alias("sign"), F.lit(True).alias("changed")))
+    pairs = pearson.listed_moments(lists, popular, buckets)
+    return _stored(cells, _added(pairs), heavy_user, path, buckets, placed=True)
 
 
 def load(spark: SparkSession, path: str, heavy_user: int = pearson.HEAVY_USER) -> RatingModel:
     """A model of :func:`build` or :func:`refresh` with that ``path`` and ``heavy_user``."""
-    cells = read_clustered(spark, f"{path}/cells")
-    return RatingModel(cells, read_clustered(spark, f"{path}/moments-{heavy_user}"), heavy_user)
+    cells, moments = f"{path}/cells", f"{path}/moments-{heavy_user}"
+    return RatingModel(read_clustered(spark, cells), read_clustered(spark, moments), heavy_user, buckets_of(spark, moments))
 
 
 def _zeroed(moments: DataFrame) -> DataFrame:
@@ -79,45 +92,20 @@ def _zeroed(moments: DataFrame) -> DataFrame:
     return moments.select(*_PAIR, F.col("n").cast("bigint").alias("n"), *sums)
 
 
-def _terms(x: Column, y: Column, counts: Column) -> list[Column]:
-    """What a pair of one user's ratings adds to each moment, 0 unless ``counts``."""
-    one = F.lit(1.0)
-    values = [one, x, y, x * x, y * y, x * y]
-    return [F.when(counts, F.coalesce(value, F.lit(0.0))).otherwise(F.lit(0.0)) for value in values]
-
-
-def _changes(rows: DataFrame) -> DataFrame:
-    """(b1, b2, moments) to add: ``rows`` are all ratings of the changed users, before and after.
-
-    Pairs with a changed rating only: changed against unchanged, and changed against changed once.  A user
-    here has at most ``heavy_user`` ratings on either side, which bounds the pairs of one key.
-    """
-    sides = ["item", "was", "is", "before", "after", "changed"]
-    left = rows.where("changed").select("user", *[F.col(c).alias(f"{c}_l") for c in sides])
-    right = rows.select("user", *[F.col(c).alias(f"{c}_r") for c in sides])
-    once = F.when(F.col("changed_r"), F.col("item_l") < F.col("item_r")).otherwise(F.col("item_l") != F.col("item_r"))
-    met = left.join(right, "user").where(once)
-    turned = F.col("item_l") > F.col("item_r")
-
-    def end(name: str, number: int) -> Column:
-        low, high = ("r", "l") if number == 1 else ("l", "r")
-        return F.when(turned, F.col(f"{name}_{low}")).otherwise(F.col(f"{name}_{high}"))
-
-    ends = [end(c, i).alias(f"{c}_{i}") for c in ("was", "is") for i in (1, 2)]
-    flags = [(F.col(f"{c}_l") & F.col(f"{c}_r")).alias(c) for c in ("before", "after")]
-    met = met.select(end("item", 1).alias("b1"), end("item", 2).alias("b2"), *ends, *flags)
-    now = _terms(F.col("is_1"), F.col("is_2"), F.col("after"))
-    then = _terms(F.col("was_1"), F.col("was_2"), F.col("before"))
-    return met.groupBy(*_PAIR).agg(*[F.sum(a - b).alias(name) for name, a, b in zip(MOMENTS, now, then)])
+def _added(moments: DataFrame) -> DataFrame:
+    """Moments summed by pair where they lie, without the pairs that nobody rated any more."""
+    summed = moments.groupBy(*_PAIR).agg(*[F.sum(name).alias(name) for name in MOMENTS])
+    return _zeroed(summed).where("n > 0")
 
 
 def refresh(
-    model: RatingModel, ratings: DataFrame, path: str | None = None, order: str = "ts", buckets: int = BUCKETS
+    model: RatingModel, ratings: DataFrame, path: str | None = None, order: str = "ts", buckets: int | None = None
 ) -> RatingModel:
     """The model with ``ratings`` added, written as a new one; ``model`` stays as it was.
 
     Only ratings of users in the batch are paired, and of those only pairs with a changed one.  The stored
-    tables are copied in their clustering: the changes move to them.
+    moments are copied in their clustering: what changes moves to them as lists, see :func:`pearson.first_lists`.
+    Other ``buckets`` than the model's move them.
     """
     batch = _late_cells(ratings, order)
     users = written(batch.select("user").where(F.col("user").isNotNull()).distinct(), "changed-users")
@@ -137,18 +125,22 @@ def refresh(
     sizes = merged.groupBy("user").agg(F.count(F.lit(1)).alias("size"), F.count_if("before").alias("size_before"))
     sizes = written(sizes.where(F.col("size_before") <= model.heavy_user), "light-users")
     light = F.col("size") <= model.heavy_user
-    rows = merged.join(sizes, "user").select(
-        "user", "item", "is", "was", "before", light.alias("after"),
-        (~light & F.col("before") | light & (~F.col("before") | ~F.col("is").eqNullSafe(F.col("was")))).alias("changed"),
-    )
-    changes = _changes(rows).select(*_PAIR, *[F.col(name).alias(f"d_{name}") for name in MOMENTS])
-    changes = written(changes.where(" OR ".join(f"d_{name} <> 0" for name in MOMENTS)), "moment-changes")
-    summed = [F.coalesce(name, F.lit(0)) + F.coalesce(f"d_{name}", F.lit(0.0)) for name in MOMENTS]
-    moments = model.moments.join(changes, _PAIR, "full").select(*_PAIR, *[s.alias(m) for s, m in zip(summed, MOMENTS)])
-    moments = _zeroed(moments).where("n > 0")
+    changed = ~light & F.col("before") | light & (~F.col("before") | ~F.col("is").eqNullSafe(F.col("was")))
+    rows = merged.join(sizes, "user").select("user", "item", "is", "was", "before", light.alias("after"), changed.alias("changed"))
+
+    def side(sign: int, there: str, stars: str) -> DataFrame:
+        return rows.where(there).select("user", F.lit(sign).alias("sign"), "item", F.col(stars).alias("s"), "changed")
+
+    # What the pairs with a changed rating add now, less what they added before.
+    changes = side(1, "after", "is").unionAll(side(-1, "before", "was"))
+    lists, popular = pearson.first_lists(changes)
+    changes = pearson.listed_moments(written(lists, "moment-changes"), popular, model.buckets)
+    moments = _added(model.moments.select(*_PAIR, *MOMENTS).unionAll(changes.select(*_PAIR, *MOMENTS)))
     untouched = model.cells.where(F.col("user").isNotNull()).join(users, "user", "left_anti")
     cells = untouched.unionByName(merged.withColumnRenamed("is", "stars").select("user", "item", "late", "stars"))
-    return _stored(cells, moments, model.heavy_user, path or new_path(ratings.sparkSession, "model"), buckets)
+    placed = buckets in (None, model.buckets)
+    path = path or new_path(ratings.sparkSession, "model")
+    return _stored(cells, moments, model.heavy_user, path, buckets or model.buckets, placed)
 
 
 def edges(model: RatingModel, least_co_rated: int = 3, least_sim: float = 0.3) -> DataFrame:

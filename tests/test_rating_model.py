@@ -150,3 +150,22 @@ def test_a_hot_key_moves_alone(spark, no_broadcast, tmp_path):
     stored = write_clustered(right, str(tmp_path / "right"), ["k"], 4)
     joined = skew.spread_join(left, stored, ["k"], cell_rows=20)
     assert _table(joined.select("k", "a", "b")) == _table(left.join(right, "k").select("k", "a", "b"))
+
+
+@pytest.mark.parametrize("first_pairs", [5, 10**6])
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_moments_never_move(spark, no_broadcast, monkeypatch, tmp_path, first_pairs, buckets):
+    """Pairs are added up where the stored moments of their first item lie, so a table has one file a bucket."""
+    monkeypatch.setattr(pearson, "FIRST_PAIRS", first_pairs)
+    rows = [(int(u[1:]) if u[0] == "u" else 100 + int(u[1:]), int(b[1:]), s, ts) for u, b, s, ts in _rows(6, items=40)]
+    frame = spark.createDataFrame(rows, "user_id bigint, business_id bigint, stars double, ts int")
+    first, last = (spark.createDataFrame(part, frame.schema) for part in (rows[:170], rows[170:]))
+    rating_model.build(first, str(tmp_path / "first"), buckets=4)
+    model = rating_model.load(spark, str(tmp_path / "first"))
+    model = rating_model.refresh(model, last, str(tmp_path / "second"), buckets=buckets)
+    once = rating_model.build(frame, buckets=4)
+    assert _table(model.cells) == _table(once.cells) and _table(model.moments) == _table(once.moments)
+    assert model.buckets == (buckets or 4)
+    for name in ("first", "second"):
+        assert len(list((tmp_path / name / "moments-2000" / "rows").glob("part-*"))) <= 4
+    assert "Exchange" not in _plan(model.moments.groupBy("b1", "b2").count())
