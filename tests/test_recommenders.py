@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyweave import storage
 from tallyweave.operators import evaluation, neighbours, pearson, products, profiles, skew, tfidf
 from tallyweave.plans import collaborative, content
 from tallyweave.sources import readers, writers
@@ -423,3 +424,17 @@ def test_large_tables_are_grouped_in_more_tasks(spark, monkeypatch):
         # Only partitions that hold rows leave a file; the session has 4.
         assert len(spark.read.parquet(path).inputFiles()) > 4, label
     assert skew.tasks_for(spark, 80) is None and skew.tasks_for(spark, 81) == 5
+
+
+def test_predictions_group_the_ratings_once(spark, monkeypatch):
+    """Similarity and prediction read one table of latest ratings instead of forming one each."""
+    rows = [(u, b, float(1 + (u * b) % 5), ts) for u in range(12) for b in range(9) for ts in range(1 + (u + b) % 2)]
+    raw = spark.createDataFrame(rows, "user_id int, business_id int, stars double, ts int")
+    pairs = raw.select("user_id", "business_id")
+    edges = collaborative.item_similarity(raw, 3, -2.0)
+    expected = sorted(map(tuple, collaborative.predict_ratings(pairs, edges, raw).collect()))
+    latest = storage.written(pearson.latest_ratings(raw), "latest")
+    monkeypatch.setattr(pearson, "latest_ratings", None)
+    again = collaborative.item_similarity(latest, 3, -2.0, deduped=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, edges.collect()))
+    assert sorted(map(tuple, collaborative.predict_ratings(pairs, again, latest, deduped=True).collect())) == expected
